@@ -1,4 +1,4 @@
-"""Foreign-key lookups: fact rows left-joined to a dimension's surrogate id."""
+"""Foreign-key lookups: rows left-joined to a dimension by its key."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql.types import BinaryType, StringType
 
 # A side is broadcast only if its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-# Keys with more than this share of the fact rows are hot: there can be at most 200 of them.
+# Keys with more than this share of the rows are hot: there can be fewer than 200 of them.
 HOT_SHARE = 1 / 200
 _ROW_OVERHEAD = 64
 _FIXED_WIDTH = 16
@@ -29,70 +29,83 @@ def measured_bytes(df: DataFrame) -> int:
 
 
 def lookup(
-    fact: DataFrame,
+    rows: DataFrame,
     dim: DataFrame,
     keys: Sequence[str],
-    id_column: str,
+    columns: Sequence[str],
     *,
     null_safe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``id_column`` to the fact by matching the natural key. Keeps every fact row once.
+    """Add ``columns`` of the dimension row with the same keys. Keeps every input row once.
 
     ``dim`` must be distinct on the keys; pass a staged one, since its size is measured here.
     With ``null_safe`` a null part of the key matches a null; without, it matches nothing.
+    A dimension above ``broadcast_bytes`` is joined by shuffle, with hot keys counted in
+    ``counted``: the same keys as in ``rows``, for callers that have them without other joins.
     """
-    side = dim.select(*[F.col(key).alias(f"_dim_{key}") for key in keys], id_column)
+    for key in keys:
+        if rows.schema[key].dataType != dim.schema[key].dataType:
+            raise ValueError(f"{key} has another type in the dimension")
+    side = dim.select(*[F.col(key).alias(f"_dim_{key}") for key in keys], *columns)
     if measured_bytes(side) <= broadcast_bytes:
-        joined = fact.join(F.broadcast(side), _matches(keys, null_safe), "left")
-        return joined.select(*fact.columns, id_column)
-    return _split_lookup(fact, side, keys, id_column, null_safe)
+        joined = rows.join(F.broadcast(side), _matches(keys, "_dim_", null_safe), "left")
+        return joined.select(*rows.columns, *columns)
+    return _split_lookup(rows, side, keys, columns, null_safe, rows if counted is None else counted)
 
 
-def _matches(keys: Sequence[str], null_safe: bool, prefix: str = "_dim_") -> Column:
+def hot_keys(rows: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """Key combinations with more than ``share`` of all rows: fewer than ``1 / share`` by definition.
+
+    Counts are combined before the shuffle, so finding the hot keys does not suffer from them.
+    """
+    total = rows.agg(F.count(F.lit(1)).alias("total")).scalar()
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.filter(F.col("_rows") > total * share).select(*keys)
+
+
+def _matches(keys: Sequence[str], prefix: str, null_safe: bool) -> Column:
     pairs = [(F.col(key), F.col(prefix + key)) for key in keys]
-    tests = [left.eqNullSafe(right) if null_safe else left == right for left, right in pairs]
-    return reduce(operator.and_, tests)
+    return reduce(
+        operator.and_, [left.eqNullSafe(right) if null_safe else left == right for left, right in pairs]
+    )
 
 
 def _split_lookup(
-    fact: DataFrame,
+    rows: DataFrame,
     side: DataFrame,
     keys: Sequence[str],
-    id_column: str,
+    columns: Sequence[str],
     null_safe: bool,
+    counted: DataFrame,
 ) -> DataFrame:
     """Shuffled lookup whose hot keys never meet in one task.
 
-    Hot keys are answered by a broadcast of their at most ``1 / HOT_SHARE`` dimension rows. In
-    the shuffle, rows that need no other answer (hot, or null and so matching nothing) carry a
-    salt that spreads them by input partition; all others carry salt 0, as the dimension does.
+    Hot keys are answered by a broadcast of their few dimension rows. A row so settled, or with
+    a null that can match nothing, needs no partner in the shuffle: it goes to a bucket chosen
+    by its input partition. All other rows go to the bucket of their key, as the dimension does.
     """
-    total = fact.count()
-    hot_keys = (
-        fact.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > total * HOT_SHARE)
-        .select(*[F.col(key).alias(f"_hot_{key}") for key in keys])
-    )
-    dim_is_hot = [
-        F.col(f"_dim_{key}").eqNullSafe(F.col(f"_hot_{key}")) for key in keys
-    ]
-    hot_side = side.join(F.broadcast(hot_keys), reduce(operator.and_, dim_is_hot)).select(
-        *[f"_hot_{key}" for key in keys], F.col(id_column).alias("_hot_id"), F.lit(True).alias("_hot")
+    hot = hot_keys(counted, keys).select(*[F.col(key).alias(f"_hot_{key}") for key in keys])
+    in_dim = [F.col(f"_dim_{key}").eqNullSafe(F.col(f"_hot_{key}")) for key in keys]
+    hot_side = side.join(F.broadcast(hot), reduce(operator.and_, in_dim)).select(
+        *[f"_hot_{key}" for key in keys],
+        *[F.col(name).alias(f"_hot_value_{name}") for name in columns],
+        F.lit(True).alias("_hot"),
     )
+    buckets = F.lit(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     settled = F.coalesce(F.col("_hot"), F.lit(False))
     if not null_safe:
         settled = settled | reduce(operator.or_, [F.col(key).isNull() for key in keys])
-    spread = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted = (
-        fact.join(F.broadcast(hot_side), _matches(keys, null_safe, "_hot_"), "left")
-        .withColumn("_salt", F.when(settled, 1 + F.pmod(F.spark_partition_id(), F.lit(spread))).otherwise(0))
-        .select(*fact.columns, "_hot_id", "_salt")
+    spread = buckets + F.pmod(F.spark_partition_id(), buckets)
+    bucketed = (
+        rows.join(F.broadcast(hot_side), _matches(keys, "_hot_", null_safe), "left")
+        .withColumn("_bucket", F.when(settled, spread).otherwise(F.pmod(F.hash(*keys), buckets)))
+        .drop("_hot", *[f"_hot_{key}" for key in keys])
+    )
+    cold_side = side.withColumnsRenamed({name: f"_cold_value_{name}" for name in columns}).withColumn(
+        "_dim_bucket", F.pmod(F.hash(*[f"_dim_{key}" for key in keys]), buckets)
     )
-    cold_side = side.withColumnRenamed(id_column, "_cold_id").withColumn("_dim_salt", F.lit(0))
-    return salted.join(
-        cold_side,
-        _matches(keys, null_safe) & (F.col("_salt") == F.col("_dim_salt")),
-        "left",
-    ).select(*fact.columns, F.coalesce("_hot_id", "_cold_id").alias(id_column))
+    found = [F.coalesce(f"_hot_value_{name}", f"_cold_value_{name}").alias(name) for name in columns]
+    same = _matches(keys, "_dim_", null_safe) & (F.col("_bucket") == F.col("_dim_bucket"))
+    return bucketed.join(cold_side, same, "left").select(*rows.columns, *found)

@@ -6,6 +6,7 @@ Every report is a DataFrame built from one aggregation over the data; nothing is
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,10 +44,10 @@ def text_columns(df: DataFrame) -> list[str]:
 def max_lengths(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, max_length)`` for every text column; null if it holds no value at all."""
     names = text_columns(df) if columns is None else list(columns)
-    measured = df.agg(*[F.max(F.length(name)).alias(name) for name in names] or [F.max(F.lit(None))])
-    rows = [F.struct(F.lit(name).alias("column"), F.col(name).alias("max_length")) for name in names]
-    if not rows:
+    if not names:
         return df.sparkSession.createDataFrame([], "column string, max_length int")
+    measured = df.agg(*[F.max(F.length(name)).alias(name) for name in names])
+    rows = [F.struct(F.lit(name).alias("column"), F.col(name).alias("max_length")) for name in names]
     return measured.select(F.inline(F.array(*rows)))
 
 
@@ -91,15 +92,20 @@ def overlong_columns(
 
 
 def overlong_samples(df: DataFrame, order_by: str, limit: int = OVERLONG, per_column: int = 5) -> DataFrame:
-    """The first few offending values of every over-long column, in order of a row key."""
-    texts = text_columns(df)
-    long_values = (
-        df.select(F.col(order_by).alias("row_key"), *texts)
-        .unpivot("row_key", texts, "column", "value")
+    """The first few offending values of every over-long column, in order of a row key.
+
+    Each column is scanned for itself and only its first few rows leave a partition, so long
+    texts are neither sorted nor shuffled as a whole.
+    """
+    samples = [
+        df.select(F.lit(name).alias("column"), F.col(order_by).alias("row_key"), F.col(name).alias("value"))
         .filter(F.length("value") > limit)
-    )
+        .orderBy("row_key", "value")
+        .limit(per_column)
+        for name in text_columns(df)
+    ]
     rank = F.row_number().over(Window.partitionBy("column").orderBy("row_key", "value"))
-    return long_values.withColumn("rank", rank).filter(F.col("rank") <= per_column)
+    return reduce(DataFrame.unionByName, samples).withColumn("rank", rank)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
@@ -126,10 +132,7 @@ def type_recommendation(
     reports = [
         _table_types(name, df, name in one_char_tables, shared) for name, df in tables.items()
     ]
-    whole = reports[0]
-    for report in reports[1:]:
-        whole = whole.unionByName(report)
-    return whole
+    return reduce(DataFrame.unionByName, reports)
 
 
 def _table_types(table: str, df: DataFrame, one_char: bool, shared: Column) -> DataFrame:

@@ -46,5 +46,5 @@ def attach_status(
     key: str,
     status: str,
 ) -> DataFrame:
-    """Left join a status onto entities that come from another table; no match means inactive."""
-    return fill_default(lookup(entities, statuses, [key], status), status, INACTIVE)
+    """Left join a (staged) status onto entities that come from another table; no match means inactive."""
+    return fill_default(lookup(entities, statuses, [key], [status]), status, INACTIVE)

@@ -79,7 +79,8 @@ def fact_with_lookups(
     """
     natural = [name for dim in star.surrogate_dims for name in dim.natural_key]
     own = [field.name for field in star.fact.fields]
-    fact = flat.select(*dict.fromkeys([*own, *natural]))
+    rows = flat.select(*dict.fromkeys([*own, *natural]))
+    fact = rows
     computed = {}
     for dim in star.surrogate_dims:
         if dim.key.numbered:
@@ -87,9 +88,10 @@ def fact_with_lookups(
                 fact,
                 tables[dim.name],
                 dim.natural_key,
-                dim.primary_key,
+                [dim.primary_key],
                 null_safe=null_safe,
                 broadcast_bytes=broadcast_bytes,
+                counted=rows,
             )
         else:
             present = dim.required if null_safe else dim.natural_key

@@ -346,13 +346,17 @@ def _dim_hash_keys() -> str:
     return _with_visits(" UNION ALL ".join(rows))
 
 
-def _flat_again() -> str:
-    """The flat rows with what normalizing changes: no description where the code is missing."""
+def _flat_again(treatment_desc: str) -> str:
+    """The flat rows with what normalizing changes: no description where the code is missing.
+
+    A readable treatment id without a code is null, so there its description is lost as well.
+    """
     return _with_visits(
         "SELECT v.visit_id, v.visit_type, p.patient_zip, p.patient_status, v.doctor_name, v.doctor_title,"
         " v.doctor_department, v.primary_diagnosis_code,"
         " CASE WHEN v.primary_diagnosis_code IS NOT NULL THEN v.primary_diagnosis_desc END"
-        " AS primary_diagnosis_desc, v.secondary_diagnosis_code,"
+        " AS primary_diagnosis_desc, v.treatment_code,"
+        f" {treatment_desc} AS treatment_desc, v.secondary_diagnosis_code,"
         " CASE WHEN v.secondary_diagnosis_code IS NOT NULL THEN v.secondary_diagnosis_desc END"
         f" AS secondary_diagnosis_desc FROM visits v LEFT JOIN ({_patient()}) p ON v.patient_id = p.patient_id"
     )
@@ -438,6 +442,6 @@ def oracles() -> dict[str, str]:
             f" FROM ({_natural(BILLING, 'billing_id')})"
         ),
         "preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 20",
-        "normalize_roundtrip": _flat_again(),
-        "normalize_roundtrip_sequence": _flat_again(),
+        "normalize_roundtrip": _flat_again("v.treatment_desc"),
+        "normalize_roundtrip_sequence": _flat_again("CASE WHEN v.treatment_code IS NOT NULL THEN v.treatment_desc END"),
     }

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flakeform.operators import clean, constraints, profile, status
+from flakeform.operators.lookup import lookup
 from flakeform.plans.healthcare import healthcare
 from flakeform.plans.job import migrate, normalize_csv
 from flakeform.plans.normalize import (
@@ -70,7 +71,7 @@ def entity_status_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("o_custkey").alias("custkey"), dated.alias("ordered"))
     )
     statuses = status.entity_status(orders, "custkey", "ordered", "status", CUTOFF)
-    return status.attach_status(entities, statuses, "custkey", "status")
+    return status.attach_status(entities, stage(statuses, "statuses"), "custkey", "status")
 
 
 def cutoff_filter_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,24 +227,16 @@ def _roundtrip(keys: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalize, then put the flat rows together again from the fact and its dimensions."""
     flat = stage(visits(spark, sf_dir), "visits")
     tables = normalize(flat, STAR, keys, null_safe=True)
-    whole = tables["FacVisit"]
-    for name in ("DimProvider", "DimPrimaryDiagnosis", "DimSecondaryDiagnosis"):
-        whole = whole.join(tables[name], STAR.table(name).primary_key, "left")
-    patient = tables["DimPatient"].select("patient_id", "patient_zip", "patient_status")
-    wanted: Iterable[str] = [
-        "visit_id",
-        "visit_type",
-        "patient_zip",
-        "patient_status",
-        "doctor_name",
-        "doctor_title",
-        "doctor_department",
-        "primary_diagnosis_code",
-        "primary_diagnosis_desc",
-        "secondary_diagnosis_code",
-        "secondary_diagnosis_desc",
-    ]
-    return whole.join(patient, "patient_id", "left").select(*wanted)
+    fact = tables["FacVisit"]
+    whole = fact
+    wanted = {
+        "DimPatient": ["patient_zip", "patient_status"],
+        **{spec.name: spec.natural_key for spec in STAR.surrogate_dims if spec.name != "DimLocation"},
+    }
+    for name, columns in wanted.items():
+        key = STAR.table(name).primary_key
+        whole = lookup(whole, stage(tables[name], name), [key], columns, counted=fact)
+    return whole.select("visit_id", "visit_type", *[name for columns in wanted.values() for name in columns])
 
 
 DIM_QUERIES = {
