@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from flakeform.functions.text import initials, reduced_code, text_length
 from flakeform.operators.status import DEFAULT_CUTOFF
@@ -19,29 +28,36 @@ from flakeform.plans.specs import (
     SurrogateDim,
 )
 
-# The flat input's columns and types.
-FLAT_SCHEMA = StructType.fromDDL(
-    """
-    visit_id string, visit_datetime timestamp, visit_type string,
-    patient_id string, patient_first_name string, patient_last_name string,
-    patient_date_of_birth date, patient_gender string, patient_address_line1 string,
-    patient_address_line2 string, patient_city string, patient_state string,
-    patient_zip string, patient_phone string, patient_email string,
-    insurance_id string, insurance_payer_name string, insurance_policy_number string,
-    insurance_group_number string, insurance_plan_type string,
-    billing_id string, billing_total_charge decimal(10,2), billing_amount_paid decimal(10,2),
-    billing_date date, billing_payment_status string,
-    doctor_name string, doctor_title string, doctor_department string,
-    clinic_name string, room_number int,
-    primary_diagnosis_code string, primary_diagnosis_desc string,
-    secondary_diagnosis_code string, secondary_diagnosis_desc string,
-    treatment_code string, treatment_desc string,
-    prescription_id string, prescription_drug_name string, prescription_dosage string,
-    prescription_frequency string, prescription_duration_days int,
-    lab_order_id string, lab_test_code string, lab_name string, lab_result_value double,
-    lab_result_units string, lab_result_date timestamp
-    """
-)
+# The flat input's 47 columns by group; all are text unless typed below.
+FLAT_COLUMNS = """
+    visit_id visit_datetime visit_type
+    patient_id patient_first_name patient_last_name patient_date_of_birth patient_gender
+    patient_address_line1 patient_address_line2 patient_city patient_state patient_zip
+    patient_phone patient_email
+    insurance_id insurance_payer_name insurance_policy_number insurance_group_number
+    insurance_plan_type
+    billing_id billing_total_charge billing_amount_paid billing_date billing_payment_status
+    doctor_name doctor_title doctor_department
+    clinic_name room_number
+    primary_diagnosis_code primary_diagnosis_desc
+    secondary_diagnosis_code secondary_diagnosis_desc
+    treatment_code treatment_desc
+    prescription_id prescription_drug_name prescription_dosage prescription_frequency
+    prescription_duration_days
+    lab_order_id lab_test_code lab_name lab_result_value lab_result_units lab_result_date
+"""
+FLAT_TYPES = {
+    "visit_datetime": TimestampType(),
+    "patient_date_of_birth": DateType(),
+    "billing_total_charge": DecimalType(10, 2),
+    "billing_amount_paid": DecimalType(10, 2),
+    "billing_date": DateType(),
+    "room_number": IntegerType(),
+    "prescription_duration_days": IntegerType(),
+    "lab_result_value": DoubleType(),
+    "lab_result_date": TimestampType(),
+}
+FLAT_SCHEMA = StructType([StructField(name, FLAT_TYPES.get(name, StringType())) for name in FLAT_COLUMNS.split()])
 
 # How long an initials code may be before it shrinks to one character.
 PROVIDER_CODE_THRESHOLD = 3

@@ -88,7 +88,9 @@ def visits(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
     """The flat table, or some of its columns, joining only the tables these draw on.
 
     Every line has exactly one order, part and supplier and every order one customer, so leaving
-    out an unused join keeps the rows the same.
+    out an unused join keeps the rows the same. Orders grow with the lines and are never broadcast:
+    both sides are shuffled by order, which also spreads a file that one task would read alone, and
+    Spark splits the partition of an order with very many lines.
     """
     chosen = {name: COLUMNS[name] for name in (COLUMNS if columns is None else columns)}
     needed = {
@@ -104,7 +106,8 @@ def visits(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
     flat = table(spark, sf_dir, "lineitem")
     for name, (_, condition, _) in JOINS.items():
         if name in needed:
-            flat = flat.join(table(spark, sf_dir, name), F.expr(condition))
+            other = table(spark, sf_dir, name)
+            flat = flat.join(other.hint("merge") if name == "orders" else other, F.expr(condition))
     return flat.select(*[F.expr(rule).alias(name) for name, rule in chosen.items()])
 
 
