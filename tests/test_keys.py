@@ -1,0 +1,97 @@
+import pytest
+from helpers import bag
+from pyspark.sql import functions as F
+
+from flakeform.operators.lookup import HOT_SHARE, hot_keys, lookup, measured_bytes
+from flakeform.operators.sequence import dense_sequence
+
+
+@pytest.mark.parametrize("parts", [1, 4, 200])
+def test_dense_sequence_is_the_rank_whatever_the_partitions(spark, conf, parts):
+    conf(shuffle__partitions=str(parts))
+    names = [f"name {i:04d}" for i in range(1500)]
+    rows = [(name, number) for name in names for number in (None, 1)] + [(None, 5), (None, None)]
+    df = spark.createDataFrame(rows, "name string, number int").repartition(5)
+    numbered = dense_sequence(df, ["name", "number"], "seq").collect()
+    ranked = sorted(rows, key=lambda row: tuple((part is not None, part) for part in row))
+    assert {(row["name"], row["number"]): row["seq"] for row in numbered} == {
+        row: place for place, row in enumerate(ranked)
+    }
+
+
+def test_dense_sequence_without_adaptive_execution(spark, conf):
+    conf(adaptive__enabled="false")
+    df = spark.range(1000).select(F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("k"))
+    wrong = dense_sequence(df, ["k"], "seq").filter(F.col("k") != F.concat(F.lit("k"), F.lpad("seq", 4, "0")))
+    assert wrong.count() == 0
+
+
+def test_dense_sequence_of_nothing(spark):
+    assert dense_sequence(spark.createDataFrame([], "k string"), ["k"], "seq").count() == 0
+
+
+def facts_and_dim(spark):
+    """A third of the rows share one key, a third have none, the others are spread."""
+    number = F.col("id")
+    key = F.when(number % 3 == 0, F.lit("hot")).when(number % 3 == 1, F.concat(F.lit("k"), number % 700))
+    facts = spark.range(12000).select(number.alias("row"), key.alias("a"), (number % 2).cast("int").alias("b"))
+    dim = facts.select("a", "b").distinct().filter("a is null or a <> 'k1'")
+    dim = dim.withColumn("id", F.concat_ws("/", F.coalesce("a", F.lit("none")), F.col("b").cast("string")))
+    return facts, dim
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("size", [1 << 26, 0])
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_lookup_keeps_every_row_once(spark, conf, null_safe, size, threshold):
+    conf(autoBroadcastJoinThreshold=threshold)
+    facts, dim = facts_and_dim(spark)
+    found = lookup(facts, dim, ["a", "b"], ["id"], null_safe=null_safe, broadcast_bytes=size)
+    expected = {}
+    known = {(row["a"], row["b"]): row["id"] for row in dim.collect()}
+    for row in facts.collect():
+        match = known.get((row["a"], row["b"]))
+        expected[(row["row"], row["a"], row["b"], None if row["a"] is None and not null_safe else match)] = 1
+    assert bag(found) == expected
+
+
+def test_lookup_of_several_columns(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    facts = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "c")], "row int, k string")
+    dim = spark.createDataFrame([("a", "x", None), ("b", None, 2)], "k string, name string, size int")
+    for size in (1 << 26, 0):
+        assert bag(lookup(facts, dim, ["k"], ["name", "size"], broadcast_bytes=size)) == {
+            (1, "a", "x", None): 1,
+            (2, "a", "x", None): 1,
+            (3, "b", None, 2): 1,
+            (4, "c", None, None): 1,
+        }
+
+
+def test_hot_rows_do_not_meet_in_one_task(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    facts, dim = facts_and_dim(spark)
+    found = lookup(facts.repartition(8), dim, ["a", "b"], ["id"], broadcast_bytes=0)
+    sizes = [row["count"] for row in found.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert len(sizes) == 8
+    assert max(sizes) < 12000 / 3
+
+
+def test_hot_keys_are_few_by_definition(spark):
+    facts, _ = facts_and_dim(spark)
+    hot = bag(hot_keys(facts, ["a"]))
+    assert hot == {("hot",): 1, (None,): 1}
+    assert hot_keys(spark.range(1000), ["id"]).count() <= 1 / HOT_SHARE
+
+
+def test_lookup_refuses_keys_of_another_type(spark):
+    facts = spark.createDataFrame([(1,)], "k int")
+    dim = spark.createDataFrame([("1", "x")], "k string, id string")
+    with pytest.raises(ValueError, match="another type"):
+        lookup(facts, dim, ["k"], ["id"])
+
+
+def test_measured_bytes_covers_the_text(spark):
+    df = spark.createDataFrame([("x" * 1000,), (None,)], "t string")
+    assert measured_bytes(df) >= 1000
+    assert measured_bytes(df.limit(0)) == 0

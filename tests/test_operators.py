@@ -1,0 +1,103 @@
+import math
+from datetime import datetime
+
+import pytest
+from helpers import bag, column, moment
+from pyspark.sql import functions as F
+
+from flakeform.operators.clean import drop_empty_rows, fill_default, on_or_before, project, require, up_to_midnight
+from flakeform.operators.dedup import distinct_rows, first_per_key, latest_first
+from flakeform.operators.status import attach_status, entity_status
+from flakeform.plans.specs import Field
+
+
+def test_project_casts_by_field(spark):
+    df = spark.createDataFrame([("7", "x", 1)], "a string, b string, c int")
+    chosen = project(df, [Field("a", "int"), Field("b")], "c")
+    assert chosen.dtypes == [("a", "int"), ("b", "string"), ("c", "int")]
+
+
+def test_require_keeps_null_in_other_columns(spark):
+    df = spark.createDataFrame([("D1", None), (None, "text"), (None, None)], "code string, desc string")
+    assert bag(require(df, ["code"])) == {("D1", None): 1}
+    assert require(df, []).count() == 3
+
+
+def test_drop_empty_rows_keeps_nan_and_partial_rows(spark):
+    df = spark.createDataFrame([(None, None), ("a", None), (None, math.nan)], "k string, v double")
+    assert drop_empty_rows(df).count() == 2
+
+
+def test_fill_default(spark):
+    df = spark.createDataFrame([("a", None), ("b", "x")], "k string, s string")
+    assert bag(fill_default(df, "s", "none")) == {("a", "none"): 1, ("b", "x"): 1}
+
+
+def test_the_two_cutoffs_differ_during_the_cutoff_day(spark):
+    times = ["2021-12-30 10:00:00", "2021-12-31 00:00:00", "2021-12-31 23:59:59", "2022-01-01 00:00:00", None]
+    df = spark.createDataFrame([(moment(time),) for time in times], "t timestamp_ntz")
+    by_day = df.filter(on_or_before(F.col("t"), "2021-12-31"))
+    assert by_day.count() == 3
+    assert up_to_midnight(df, "t", "2021-12-31").count() == 2
+    zoned = df.select(F.col("t").cast("timestamp").alias("t"))
+    assert up_to_midnight(zoned, "t", "2021-12-31").count() == 2
+
+
+def test_midnight_cutoff_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(datetime(2021, 1, 1),)], "t timestamp_ntz").write.parquet(path)
+    plan = up_to_midnight(spark.read.parquet(path), "t", "2021-12-31")._jdf.queryExecution().toString()
+    assert "LessThanOrEqual(t," in plan
+
+
+def test_distinct_rows_groups_nulls(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", None, 2), (None, None, 3)], "x string, y string, z int")
+    assert bag(distinct_rows(df, ["x", "y"])) == {("a", None): 1, (None, None): 1}
+
+
+def test_first_per_key_is_deterministic(spark):
+    rows = [
+        ("k", moment("2020-01-01"), "v1", "old"),
+        ("k", moment("2021-01-01"), "v3", "later id"),
+        ("k", moment("2021-01-01"), "v2", "kept"),
+        ("k", None, "v0", "undated"),
+        (None, None, "v9", "null b"),
+        (None, None, "v8", "null kept"),
+        ("u", None, "v5", "only"),
+    ]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, id string, note string")
+    for parts in (1, 3, 7):
+        kept = first_per_key(df.repartition(parts), "k", latest_first("t", ["id", "note"]))
+        assert sorted(column(kept, "note")) == ["kept", "null kept", "only"]
+
+
+def test_first_per_key_thins_out_before_the_shuffle(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
+    plan = first_per_key(df, "k", [F.col("id")])._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in plan[exchange:]
+
+
+@pytest.mark.parametrize(
+    ("key", "times", "expected"),
+    [
+        ("p", ["2021-12-31 23:59:59"], "inactive"),
+        ("p", ["2022-01-01 00:00:00"], "active"),
+        ("p", ["2019-01-01", None, "2022-06-01"], "active"),
+        ("p", [None, None], "active"),
+        (None, ["2025-01-01"], "inactive"),
+    ],
+)
+def test_entity_status(spark, key, times, expected):
+    df = spark.createDataFrame([(key, moment(time)) for time in times], "k string, t timestamp")
+    assert column(entity_status(df, "k", "t", "status"), "status") == [expected]
+
+
+def test_status_of_entities_without_events(spark):
+    entities = spark.createDataFrame([("a",), ("b",), (None,), (None,)], "k string")
+    statuses = spark.createDataFrame([("a", "active"), (None, "active")], "k string, status string")
+    assert bag(attach_status(entities, statuses, "k", "status")) == {
+        ("a", "active"): 1,
+        ("b", "inactive"): 1,
+        (None, "inactive"): 2,
+    }

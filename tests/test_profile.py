@@ -1,0 +1,77 @@
+import pytest
+from helpers import bag, column
+from pyspark.sql import functions as F
+
+from flakeform.operators import profile
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = [("F", "ab", None, 1.5, "x" * 300), ("M", "é", None, 2.5, "y" * 255), (None, None, None, None, "z" * 400)]
+    return spark.createDataFrame(rows, "sex string, word string, void string, number double, long string")
+
+
+def test_length_report(texts):
+    assert bag(profile.length_report(texts)) == {
+        ("sex", 1, 50): 1,
+        ("word", 2, 50): 1,
+        ("void", 0, 50): 1,
+        ("long", 400, 500): 1,
+    }
+
+
+def test_max_lengths_leaves_unknown_lengths_null(texts):
+    assert ("void", None) in bag(profile.max_lengths(texts))
+
+
+def test_global_and_column_length(texts):
+    assert bag(profile.global_length(texts)) == {(400, 500): 1}
+    assert bag(profile.global_length(texts.select("sex"))) == {(1, 50): 1}
+    assert bag(profile.global_length(texts.select("number"))) == {(0, 50): 1}
+    assert bag(profile.column_length(texts, "void")) == {(None, 50): 1}
+    assert bag(profile.column_length(texts, "long", [350])) == {(400, 1000): 1}
+
+
+def test_reports_without_text_columns(texts):
+    assert profile.length_report(texts.select("number")).collect() == []
+    assert profile.single_char_columns(texts.select("number")).collect() == []
+
+
+def test_single_char_columns(texts):
+    assert column(profile.single_char_columns(texts), "column") == ["sex"]
+
+
+def test_overlong(texts):
+    assert bag(profile.overlong_columns(texts)) == {("long", 400, 500): 1}
+
+
+def test_overlong_samples_are_the_first_few_of_each_column(spark):
+    df = spark.range(50).select("id", F.repeat(F.lit("a"), 256).alias("p"), F.repeat(F.lit("b"), 255).alias("q"))
+    samples = profile.overlong_samples(df, "id").collect()
+    assert [(row["column"], row["row_key"], row["rank"]) for row in samples] == [("p", i, i + 1) for i in range(5)]
+
+
+def test_distinct_initials(spark):
+    df = spark.createDataFrame([("Family care",), ("Family care",), (None,)], "d string")
+    assert bag(profile.distinct_initials(df, "d")) == {("Family care", "FC"): 1, (None, None): 1}
+
+
+def test_type_recommendation(spark, texts):
+    kinds = "i int, l long, d date, m decimal(12,4), t timestamp, n timestamp_ntz, x double, s string, c string"
+    other = spark.createDataFrame([(None,) * 7 + ("abc", "Y")], kinds)
+    report = profile.type_recommendation({"one": other, "two": other}, texts, ["two"])
+    found = {(row["table"], row["column"]): row["sql_type"] for row in report.collect()}
+    fixed = {
+        "i": "INT",
+        "l": "BIGINT",
+        "d": "DATE",
+        "m": "DECIMAL(10,2)",
+        "t": "TIMESTAMP(6)",
+        "n": "TIMESTAMP(6)",
+        "x": "VARCHAR(255)",
+        "s": "VARCHAR(500)",
+    }
+    for table in ("one", "two"):
+        assert {name: found[table, name] for name in fixed} == fixed
+    assert found["one", "c"] == "VARCHAR(500)"
+    assert found["two", "c"] == "CHAR(1)"
