@@ -24,21 +24,22 @@ def natural_dim(flat: DataFrame, spec: NaturalDim) -> DataFrame:
     """One row per key, taken from its most recent event; the status comes from the same row.
 
     That one row already holds the latest event time, so status needs neither a second
-    aggregation nor a join: the whole dimension costs one shuffle.
+    aggregation nor a join: the whole dimension costs one shuffle. Rows without any value leave
+    before the sort, so that they neither cost anything nor stand in for a row that has values.
     """
     names = [field.name for field in spec.fields]
     helpers = [name for name in (spec.recency, spec.tie_breaker) if name not in names]
     others = [spec.tie_breaker, *[name for name in names if name != spec.primary_key]]
+    rows = project(flat, spec.fields, *helpers)
     dim = first_per_key(
-        project(flat, spec.fields, *helpers),
+        drop_empty_rows(rows, names) if spec.drop_empty else rows,
         spec.primary_key,
         latest_first(spec.recency, dict.fromkeys(others)),
     )
     if spec.status is not None:
         status = keyed_status(F.col(spec.primary_key), F.col(spec.recency), spec.status.cutoff)
         dim = dim.withColumn(spec.status.column, status)
-    dim = dim.drop(*helpers)
-    return drop_empty_rows(dim) if spec.drop_empty else dim
+    return dim.drop(*helpers)
 
 
 def surrogate_dim(flat: DataFrame, spec: SurrogateDim, keys: str = HASH) -> DataFrame:

@@ -54,14 +54,11 @@ def _natural(columns: dict[str, str], key: str, drop_empty: bool = False) -> str
         ]
     )
     chosen = ", ".join(f"{rule} AS {name}" for name, rule in columns.items())
-    sql = (
-        f"SELECT {chosen} FROM visits"
+    present = " OR ".join(f"{rule} IS NOT NULL" for rule in columns.values()) if drop_empty else "TRUE"
+    return (
+        f"SELECT {chosen} FROM visits WHERE {present}"
         f" QUALIFY row_number() OVER (PARTITION BY {columns[key]} ORDER BY {ordering}) = 1"
     )
-    if drop_empty:
-        empty = " AND ".join(f"{name} IS NULL" for name in columns)
-        sql = f"SELECT * FROM ({sql}) WHERE NOT ({empty})"
-    return sql
 
 
 def _same(*names: str) -> dict[str, str]:
