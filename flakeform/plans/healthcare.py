@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from typing import Any
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -28,24 +31,25 @@ from flakeform.plans.specs import (
     SurrogateDim,
 )
 
-# The flat input's 47 columns by group; all are text unless typed below.
-FLAT_COLUMNS = """
-    visit_id visit_datetime visit_type
-    patient_id patient_first_name patient_last_name patient_date_of_birth patient_gender
-    patient_address_line1 patient_address_line2 patient_city patient_state patient_zip
-    patient_phone patient_email
-    insurance_id insurance_payer_name insurance_policy_number insurance_group_number
-    insurance_plan_type
-    billing_id billing_total_charge billing_amount_paid billing_date billing_payment_status
-    doctor_name doctor_title doctor_department
-    clinic_name room_number
-    primary_diagnosis_code primary_diagnosis_desc
-    secondary_diagnosis_code secondary_diagnosis_desc
-    treatment_code treatment_desc
-    prescription_id prescription_drug_name prescription_dosage prescription_frequency
-    prescription_duration_days
-    lab_order_id lab_test_code lab_name lab_result_value lab_result_units lab_result_date
-"""
+# The flat input's 47 columns by the table that takes them over, key first where
+# the input brings one; all are text unless typed below.
+FLAT_GROUPS = {
+    "visit": "visit_id visit_datetime visit_type",
+    "patient": "patient_id patient_first_name patient_last_name patient_date_of_birth patient_gender"
+    " patient_address_line1 patient_address_line2 patient_city patient_state patient_zip"
+    " patient_phone patient_email",
+    "insurance": "insurance_id insurance_payer_name insurance_policy_number insurance_group_number"
+    " insurance_plan_type",
+    "billing": "billing_id billing_total_charge billing_amount_paid billing_date billing_payment_status",
+    "provider": "doctor_name doctor_title doctor_department",
+    "location": "clinic_name room_number",
+    "primary_diagnosis": "primary_diagnosis_code primary_diagnosis_desc",
+    "secondary_diagnosis": "secondary_diagnosis_code secondary_diagnosis_desc",
+    "treatment": "treatment_code treatment_desc",
+    "prescription": "prescription_id prescription_drug_name prescription_dosage prescription_frequency"
+    " prescription_duration_days",
+    "lab_order": "lab_order_id lab_test_code lab_name lab_result_value lab_result_units lab_result_date",
+}
 FLAT_TYPES = {
     "visit_datetime": TimestampType(),
     "patient_date_of_birth": DateType(),
@@ -57,7 +61,24 @@ FLAT_TYPES = {
     "lab_result_value": DoubleType(),
     "lab_result_date": TimestampType(),
 }
-FLAT_SCHEMA = StructType([StructField(name, FLAT_TYPES.get(name, StringType())) for name in FLAT_COLUMNS.split()])
+
+# Casts applied while normalizing, whatever type the input arrives with.
+CASTS = {
+    "patient_date_of_birth": "date",
+    "patient_zip": "string",
+    "billing_total_charge": "decimal(10,2)",
+    "billing_amount_paid": "decimal(10,2)",
+    "billing_date": "date",
+    "prescription_duration_days": "int",
+}
+
+FLAT_SCHEMA = StructType(
+    [
+        StructField(name, FLAT_TYPES.get(name, StringType()))
+        for group in FLAT_GROUPS.values()
+        for name in group.split()
+    ]
+)
 
 # How long an initials code may be before it shrinks to one character.
 PROVIDER_CODE_THRESHOLD = 3
@@ -65,12 +86,46 @@ LOCATION_CODE_THRESHOLD = 4
 PROVIDER_SEQUENCE_WIDTH = 6
 
 
-def _fields(*names: str, **casts: str) -> tuple[Field, ...]:
-    return tuple(Field(name, casts.get(name)) for name in names)
+def _columns(group: str) -> list[str]:
+    return FLAT_GROUPS[group].split()
+
 
+def _fields(names: Iterable[str]) -> tuple[Field, ...]:
+    return tuple(Field(name, CASTS.get(name)) for name in names)
 
-def _same_name(table: str, column: str) -> ForeignKey:
-    return ForeignKey(column, table, column)
+
+def _table_name(group: str) -> str:
+    return "Dim" + group.title().replace("_", "")
+
+
+def _reference(group: str) -> ForeignKey:
+    key = f"{group}_id"
+    return ForeignKey(key, _table_name(group), key)
+
+
+def _natural(group: str, parent: str | None = None, **options: Any) -> NaturalDim:
+    """Dimension with a key of its own, followed by the key of its parent, if it has one."""
+    parents = () if parent is None else (_reference(parent),)
+    key, *attributes = _columns(group)
+    return NaturalDim(
+        name=_table_name(group),
+        primary_key=key,
+        fields=_fields([key, *[edge.column for edge in parents], *attributes]),
+        foreign_keys=parents,
+        recency="visit_datetime",
+        tie_breaker="visit_id",
+        **options,
+    )
+
+
+def _surrogate(group: str, key: KeyRule, **options: Any) -> SurrogateDim:
+    return SurrogateDim(
+        name=_table_name(group),
+        primary_key=f"{group}_id",
+        fields=_fields(_columns(group)),
+        key=key,
+        **options,
+    )
 
 
 def provider_prefix(threshold: int = PROVIDER_CODE_THRESHOLD) -> Column:
@@ -83,9 +138,14 @@ def location_prefix(threshold: int = LOCATION_CODE_THRESHOLD) -> Column:
     return F.concat(code, F.col("room_number").cast("string"))
 
 
-def diagnosis_prefix(rank: str) -> Column:
-    described = text_length(F.col(f"{rank}_diagnosis_desc"))
-    return F.concat(F.col(f"{rank}_diagnosis_code"), described.cast("string"))
+def diagnosis_prefix(group: str) -> Column:
+    code, description = _columns(group)
+    return F.concat(F.col(code), text_length(F.col(description)).cast("string"))
+
+
+def _diagnosis(group: str) -> SurrogateDim:
+    """Only coded diagnoses get a row."""
+    return _surrogate(group, KeyRule(lambda: diagnosis_prefix(group)), required=(f"{group}_code",))
 
 
 def healthcare(
@@ -93,148 +153,28 @@ def healthcare(
     provider_threshold: int = PROVIDER_CODE_THRESHOLD,
     location_threshold: int = LOCATION_CODE_THRESHOLD,
 ) -> Snowflake:
-    latest_visit = {"recency": "visit_datetime", "tie_breaker": "visit_id"}
-    patient = NaturalDim(
-        name="DimPatient",
-        primary_key="patient_id",
-        fields=_fields(
-            "patient_id",
-            "patient_first_name",
-            "patient_last_name",
-            "patient_date_of_birth",
-            "patient_gender",
-            "patient_address_line1",
-            "patient_address_line2",
-            "patient_city",
-            "patient_state",
-            "patient_zip",
-            "patient_phone",
-            "patient_email",
-            patient_date_of_birth="date",
-            patient_zip="string",
-        ),
-        one_char_text=True,
-        status=StatusRule("patient_status", status_cutoff),
-        **latest_visit,
-    )
-    insurance = NaturalDim(
-        name="DimInsurance",
-        primary_key="insurance_id",
-        fields=_fields(
-            "insurance_id",
-            "patient_id",
-            "insurance_payer_name",
-            "insurance_policy_number",
-            "insurance_group_number",
-            "insurance_plan_type",
-        ),
-        foreign_keys=(_same_name("DimPatient", "patient_id"),),
-        **latest_visit,
-    )
-    billing = NaturalDim(
-        name="DimBilling",
-        primary_key="billing_id",
-        fields=_fields(
-            "billing_id",
-            "insurance_id",
-            "billing_total_charge",
-            "billing_amount_paid",
-            "billing_date",
-            "billing_payment_status",
-            billing_total_charge="decimal(10,2)",
-            billing_amount_paid="decimal(10,2)",
-            billing_date="date",
-        ),
-        foreign_keys=(_same_name("DimInsurance", "insurance_id"),),
-        **latest_visit,
-    )
-    provider = SurrogateDim(
-        name="DimProvider",
-        primary_key="provider_id",
-        fields=_fields("doctor_name", "doctor_title", "doctor_department"),
-        key=KeyRule(lambda: provider_prefix(provider_threshold), pad=PROVIDER_SEQUENCE_WIDTH),
-    )
-    location = SurrogateDim(
-        name="DimLocation",
-        primary_key="location_id",
-        fields=_fields("clinic_name", "room_number"),
-        key=KeyRule(lambda: location_prefix(location_threshold), numbered=False),
-    )
-    primary_diagnosis, secondary_diagnosis = (
-        SurrogateDim(
-            name=f"Dim{rank.title()}Diagnosis",
-            primary_key=f"{rank}_diagnosis_id",
-            fields=_fields(f"{rank}_diagnosis_code", f"{rank}_diagnosis_desc"),
-            required=(f"{rank}_diagnosis_code",),
-            key=KeyRule(lambda rank=rank: diagnosis_prefix(rank)),
-        )
-        for rank in ("primary", "secondary")
-    )
-    treatment = SurrogateDim(
-        name="DimTreatment",
-        primary_key="treatment_id",
-        fields=_fields("treatment_code", "treatment_desc"),
-        key=KeyRule(lambda: F.col("treatment_code")),
-    )
-    prescription = NaturalDim(
-        name="DimPrescription",
-        primary_key="prescription_id",
-        fields=_fields(
-            "prescription_id",
-            "prescription_drug_name",
-            "prescription_dosage",
-            "prescription_frequency",
-            "prescription_duration_days",
-            prescription_duration_days="int",
-        ),
-        drop_empty=True,
-        **latest_visit,
-    )
-    lab_order = NaturalDim(
-        name="DimLabOrder",
-        primary_key="lab_order_id",
-        fields=_fields(
-            "lab_order_id",
-            "lab_test_code",
-            "lab_name",
-            "lab_result_value",
-            "lab_result_units",
-            "lab_result_date",
-        ),
-        drop_empty=True,
-        **latest_visit,
-    )
+    provider_key = KeyRule(lambda: provider_prefix(provider_threshold), pad=PROVIDER_SEQUENCE_WIDTH)
+    location_key = KeyRule(lambda: location_prefix(location_threshold), numbered=False)
     dims = (
-        patient,
-        insurance,
-        billing,
-        provider,
-        location,
-        primary_diagnosis,
-        secondary_diagnosis,
-        treatment,
-        prescription,
-        lab_order,
+        _natural("patient", status=StatusRule("patient_status", status_cutoff), one_char_text=True),
+        _natural("insurance", parent="patient"),
+        _natural("billing", parent="insurance"),
+        _surrogate("provider", provider_key),
+        _surrogate("location", location_key),
+        _diagnosis("primary_diagnosis"),
+        _diagnosis("secondary_diagnosis"),
+        _surrogate("treatment", KeyRule(lambda: F.col("treatment_code"))),
+        _natural("prescription", drop_empty=True),
+        _natural("lab_order", drop_empty=True),
     )
+    visit_id, *attributes = _columns("visit")
+    keys = [dim.primary_key for dim in dims]
+    brought = [dim.primary_key for dim in dims if isinstance(dim, NaturalDim)]
     fact = Fact(
         name="FacVisit",
-        primary_key="visit_id",
-        fields=_fields(
-            "visit_id",
-            "patient_id",
-            "insurance_id",
-            "billing_id",
-            "prescription_id",
-            "lab_order_id",
-            "visit_datetime",
-            "visit_type",
-        ),
-        foreign_keys=tuple(_same_name(dim.name, dim.primary_key) for dim in dims),
-        columns=(
-            "visit_id",
-            *(dim.primary_key for dim in dims),
-            "visit_datetime",
-            "visit_type",
-        ),
+        primary_key=visit_id,
+        fields=_fields([visit_id, *brought, *attributes]),
+        foreign_keys=tuple(_reference(key.removesuffix("_id")) for key in keys),
+        columns=(visit_id, *keys, *attributes),
     )
     return Snowflake(dims, fact)

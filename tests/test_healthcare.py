@@ -90,7 +90,7 @@ def test_optional_groups_leave_no_empty_row(spark):
     assert normalize(flat_rows(spark, {}), STAR)["DimLabOrder"].count() == 0
 
 
-# Values re-typed from published sample output: department and title, or clinic and room, and id.
+# Department and title, or clinic and room, and the id they must give.
 @pytest.mark.parametrize(
     ("department", "title", "provider"),
     [

@@ -383,6 +383,26 @@ def oracles() -> dict[str, str]:
         "cutoff_filter_ts": f"SELECT * FROM events WHERE ts <= TIMESTAMP '{EVENT_CUTOFF} 00:00:00'",
         "cutoff_filter_day": f"SELECT * FROM events WHERE CAST(ts AS DATE) <= DATE '{EVENT_CUTOFF}'",
         **_dims(),
+        "not_null_filter": _with_visits(
+            "SELECT visit_id, primary_diagnosis_code, primary_diagnosis_desc FROM visits"
+            " WHERE primary_diagnosis_code IS NOT NULL"
+        ),
+        "drop_empty_rows": _with_visits(
+            f"SELECT {', '.join(PRESCRIPTION)} FROM visits"
+            f" WHERE NOT ({' AND '.join(f'{name} IS NULL' for name in PRESCRIPTION)})"
+        ),
+        "lenient_casts": "SELECT CAST(o_orderdate AS DATE) AS o_orderdate,"
+        " CAST(o_totalprice AS DECIMAL(10,2)) AS o_totalprice, TRY_CAST(o_orderpriority AS INTEGER)"
+        " AS o_orderpriority, CAST(o_custkey AS VARCHAR) AS o_custkey, CAST(o_orderkey AS INTEGER) AS o_orderkey"
+        " FROM orders",
+        "short_codes": _with_visits(
+            f"SELECT visit_id, {_reduced(_initials('clinic_name'), 4)} AS clinic_code,"
+            f" {_reduced(_initials('doctor_department'), 3)} AS department_code FROM visits"
+        ),
+        "length_buckets": "SELECT doc_id, CAST(length(text) AS INTEGER) AS length,"
+        f" {BUCKET.format(n='length(text)')} AS size FROM documents",
+        "sequence_numbers": "SELECT o_orderdate, o_orderkey,"
+        " row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS seq FROM orders",
         "dim_hash_keys": _dim_hash_keys(),
         "fact_hash_fk": _with_visits(_fact_hashed()),
         "fact_lookup": _with_visits(_fact_joined("=")),

@@ -8,8 +8,10 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flakeform.functions import initials, length_bucket, reduced_code, text_length
 from flakeform.operators import clean, constraints, profile, status
 from flakeform.operators.lookup import lookup
+from flakeform.operators.sequence import dense_sequence
 from flakeform.plans.healthcare import healthcare
 from flakeform.plans.job import migrate, normalize_csv
 from flakeform.plans.normalize import (
@@ -21,7 +23,7 @@ from flakeform.plans.normalize import (
     normalize,
     surrogate_dim,
 )
-from flakeform.plans.specs import NaturalDim, TableSpec
+from flakeform.plans.specs import Field, NaturalDim, TableSpec
 from flakeform.sources.csv import read_csv, write_csv
 from flakeform.sources.staging import new_folder, stage
 from flakeform.sources.tables import export_tables, load_tables, preview
@@ -82,6 +84,51 @@ def cutoff_filter_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").filter(clean.on_or_before(F.col("ts"), EVENT_CUTOFF))
 
 
+def not_null_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    diagnosis = visits(spark, sf_dir, ["visit_id", *STAR.table("DimPrimaryDiagnosis").natural_key])
+    return clean.require(diagnosis, ["primary_diagnosis_code"])
+
+
+def drop_empty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [field.name for field in STAR.table("DimPrescription").fields]
+    return clean.drop_empty_rows(visits(spark, sf_dir, fields))
+
+
+def lenient_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates, decimals, whole numbers and text out of the columns' own types; a brand is no number."""
+    fields = [
+        Field("o_orderdate", "date"),
+        Field("o_totalprice", "decimal(10,2)"),
+        Field("o_orderpriority", "int"),
+        Field("o_custkey", "string"),
+        Field("o_orderkey", "int"),
+    ]
+    return clean.project(table(spark, sf_dir, "orders"), fields)
+
+
+def short_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = visits(spark, sf_dir, ["clinic_name", "doctor_department", "visit_id"])
+    return flat.select(
+        "visit_id",
+        reduced_code(initials(F.col("clinic_name")), 4).alias("clinic_code"),
+        reduced_code(initials(F.col("doctor_department")), 3).alias("department_code"),
+    )
+
+
+def length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of every whole text and the size that holds it."""
+    length = text_length(F.col("text"))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", length.alias("length"), length_bucket(length).alias("size")
+    )
+
+
+def sequence_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders numbered by date and key."""
+    orders = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey")
+    return dense_sequence(orders, ["o_orderdate", "o_orderkey"], "seq")
+
+
 def dim_hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
         _dim(spec.name, HASH, spark, sf_dir).select(
@@ -259,6 +306,12 @@ QUERIES: dict[str, Query] = {
     "cutoff_filter_ts": cutoff_filter_ts,
     "cutoff_filter_day": cutoff_filter_day,
     **{query: partial(_dim, name, SEQUENCE) for query, name in DIM_QUERIES.items()},
+    "not_null_filter": not_null_filter,
+    "drop_empty_rows": drop_empty_rows,
+    "lenient_casts": lenient_casts,
+    "short_codes": short_codes,
+    "length_buckets": length_buckets,
+    "sequence_numbers": sequence_numbers,
     "dim_hash_keys": dim_hash_keys,
     "fact_hash_fk": fact_hash_fk,
     "fact_lookup": _fact_lookup,
