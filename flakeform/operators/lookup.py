@@ -84,7 +84,8 @@ def _split_lookup(
 
     Hot keys are answered by a broadcast of their few dimension rows. A row so settled, or with
     a null that can match nothing, needs no partner in the shuffle: it goes to a bucket chosen
-    by its input partition. All other rows go to the bucket of their key, as the dimension does.
+    by all its values and its input partition, so that even exact copies part. All other rows go
+    to the bucket of their key, as the dimension does. Each choice is the same when a task reruns.
     """
     hot = hot_keys(counted, keys).select(*[F.col(key).alias(f"_hot_{key}") for key in keys])
     in_dim = [F.col(f"_dim_{key}").eqNullSafe(F.col(f"_hot_{key}")) for key in keys]
@@ -97,7 +98,7 @@ def _split_lookup(
     settled = F.coalesce(F.col("_hot"), F.lit(False))
     if not null_safe:
         settled = settled | reduce(operator.or_, [F.col(key).isNull() for key in keys])
-    spread = buckets + F.pmod(F.spark_partition_id(), buckets)
+    spread = buckets + F.pmod(F.hash(F.spark_partition_id(), *rows.columns), buckets)
     bucketed = (
         rows.join(F.broadcast(hot_side), _matches(keys, "_hot_", null_safe), "left")
         .withColumn("_bucket", F.when(settled, spread).otherwise(F.pmod(F.hash(*keys), buckets)))

@@ -147,7 +147,7 @@ def _numbered(table: str) -> str:
 
 def _hash(table: str) -> str:
     parts = [
-        f"coalesce(CAST(length(CAST({key} AS VARCHAR)) AS VARCHAR) || ':' || CAST({key} AS VARCHAR), '-')"
+        f"coalesce(CAST(strlen(CAST({key} AS VARCHAR)) AS VARCHAR) || ':' || CAST({key} AS VARCHAR), '-')"
         for key in NATURAL[table]
     ]
     return f"md5({' || '.join(parts)})"
