@@ -56,6 +56,22 @@ def test_csv_inference_loses_the_leading_zero(spark, tmp_path):
     assert bag(read_csv(spark, str(source))) == {(2134, "a"): 1, (10001, None): 1}
 
 
+def test_csv_files_must_agree_on_their_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("zip,name\n02134,a\n")
+    (tmp_path / "b.csv").write_text("name,zip\nb,10001\n")
+    schema = spark.createDataFrame([], "name string, zip string").schema
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path), schema).collect()
+
+
+def test_csv_keeps_spaces_and_line_breaks_on_request(spark, tmp_path):
+    df = spark.createDataFrame([("  x ", 'two\nlines, "quoted"'), ("y", None)], "a string, b string")
+    write_csv(df, str(tmp_path / "kept"), trim=False)
+    assert bag(read_csv(spark, str(tmp_path / "kept"), df.schema, multiline=True)) == bag(df)
+    write_csv(df.select("a"), str(tmp_path / "cut"))
+    assert bag(read_csv(spark, str(tmp_path / "cut"), df.select("a").schema)) == {("x",): 1, ("y",): 1}
+
+
 def test_missing_csv_is_reported(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         read_csv(spark, str(tmp_path / "none.csv"))
