@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,10 +45,40 @@ class Slices:
         }
 
 
-def read_table(spark: SparkSession, database: Database, table: str, slices: Slices | None = None) -> DataFrame:
-    """A database table. Without slices it arrives as one partition, so give them for a large one."""
-    options = {**database.options(), "dbtable": table, **(slices.options() if slices else {})}
-    return spark.read.format("jdbc").options(**options).load()
+def key_ranges(column: str, bounds: Sequence[str]) -> list[str]:
+    """Conditions that split a text-keyed table at the given bounds.
+
+    Each condition also rules out all earlier ones, so a row meets exactly one of them under
+    whatever collation the database compares text.
+    """
+    marks = ["'" + bound.replace("'", "''") + "'" for bound in bounds]
+    conditions = []
+    for place, mark in enumerate([*marks, None]):
+        tests = [f"{column} >= {earlier}" for earlier in marks[:place]]
+        tests += [] if mark is None else [f"{column} < {mark}"]
+        conditions.append(" AND ".join(tests) or "1 = 1")
+    if marks:
+        conditions[0] += f" OR {column} IS NULL"
+    return conditions
+
+
+def read_table(
+    spark: SparkSession,
+    database: Database,
+    table: str,
+    slices: Slices | Sequence[str] | None = None,
+) -> DataFrame:
+    """A database table, read by one task unless split: by a numeric or date column, or by conditions.
+
+    Conditions (see :func:`key_ranges`) give one partition each and must cover every row once.
+    """
+    options = database.options()
+    if isinstance(slices, Slices):
+        options |= slices.options()
+    elif slices is not None:
+        url = options.pop("url")
+        return spark.read.jdbc(url, table, predicates=list(slices), properties=options)
+    return spark.read.format("jdbc").options(**options, dbtable=table).load()
 
 
 def append_table(df: DataFrame, database: Database, table: str, connections: int = WRITE_CONNECTIONS) -> None:

@@ -8,7 +8,7 @@ from flakeform import FLAT_SCHEMA, healthcare, normalize
 from flakeform.plans.job import migrate, normalize_csv
 from flakeform.sources import staging
 from flakeform.sources.csv import read_csv, write_csv
-from flakeform.sources.jdbc import Database, Slices, append_table, read_table
+from flakeform.sources.jdbc import Database, Slices, append_table, key_ranges, read_table
 from flakeform.sources.tables import export_tables, load_tables, preview, read_parquet, write_parquet
 
 STAR = healthcare()
@@ -173,6 +173,22 @@ def test_jdbc_scan_is_sliced_on_request():
     }
 
 
+def test_jdbc_scan_by_conditions():
+    spark = MagicMock()
+    conditions = key_ranges("visit_id", ["8"])
+    read_table(spark, DATABASE, "FacVisit", conditions)
+    login = {name: value for name, value in DATABASE.options().items() if name != "url"}
+    spark.read.jdbc.assert_called_with(DATABASE.url, "FacVisit", predicates=conditions, properties=login)
+
+
+@pytest.mark.parametrize("bounds", [[], ["m"], ["8", "c", "4", "c"], ["it's", ""]])
+def test_key_ranges_meet_every_row_once(spark, bounds):
+    keys = ["", "0a", "4", "7f", "8", "c0", "it", "it's", "m", "zz", None]
+    df = spark.createDataFrame([(key,) for key in keys], "k string")
+    parts = [column(df.filter(condition), "k") for condition in key_ranges("k", bounds)]
+    assert sorted(key or "-" for part in parts for key in part) == sorted(key or "-" for key in keys)
+
+
 def test_jdbc_append_caps_connections():
     df = MagicMock()
     append_table(df, DATABASE, "FacVisit")
