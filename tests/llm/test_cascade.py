@@ -1,0 +1,48 @@
+import pytest
+from brute import edges, empty, measures, sources
+
+from flakeform.llm.cascade import MEASURES, RULES, Measured, quality_rules, rule_order, run_cascade
+
+
+@pytest.mark.parametrize("make", [edges, sources])
+def test_measures_and_verdicts(spark, make):
+    docs = make(spark)
+    want = sorted(
+        (r["doc_id"] if r["doc_id"] is not None else -1, *measures(r["text"]), not any(rule.rejects(Measured((r["text"] or "").encode())) for rule in RULES))
+        for r in docs.select("doc_id", "text").collect()
+    )
+    got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, *[r[m] for m in MEASURES], r["kept"]) for r in run_cascade(docs).collect())
+    assert got == want
+
+
+def test_rejected_documents_name_a_rule_that_rejects(spark):
+    by_name = {rule.name: rule for rule in RULES}
+    docs = sources(spark)
+    text = {r["doc_id"]: r["text"].encode() for r in docs.collect()}
+    for row in run_cascade(docs).filter("not kept").collect():
+        assert by_name[row["rejected_by"]].rejects(Measured(text[row["doc_id"]]))
+
+
+def test_order_prefers_rejection_per_cost(spark):
+    order = rule_order(sources(spark))
+    assert sorted(r.name for r in order) == sorted(r.name for r in RULES)
+    assert order[0].name in {"few_words", "symbols", "word_length", "capitals"}
+
+
+def test_verdicts_follow_labels(spark):
+    """Documents labelled good are kept, most labelled bad are not."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = run_cascade(docs).join(labels, "doc_id").collect()
+    good = [r["kept"] for r in rows if r["quality"] == 1 and r["n_words"] >= 50]
+    bad = [r["kept"] for r in rows if r["quality"] == 0]
+    assert sum(good) / len(good) > 0.97
+    assert sum(bad) / len(bad) < 0.3
+
+
+def test_filter_and_empty(spark):
+    docs = edges(spark)
+    kept = quality_rules(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == run_cascade(docs).filter("kept").count()
+    assert run_cascade(empty(spark)).count() == 0
