@@ -9,11 +9,11 @@ from flakeform.operators.sequence import dense_sequence
 
 #: A paragraph ends after a line break or a sentence; every character belongs to one paragraph.
 PARAGRAPH_END = r"(?<=\n)|(?<=[.!?] )"
-#: 64-bit words of narrow lanes (four lanes of 15 bits each), and of wide lanes (62 bits each).
+#: 64-bit words of narrow lanes (four lanes of 14 bits each), and of wide lanes (62 bits each).
 NARROW, WIDE = 32, 2
 #: Documents that one bucket of neighbours holds, if ids are spread evenly.
 BUCKET_ROWS = 256
-_LANES = 0x7FFF7FFF7FFF7FFF
+_LANES = 0x3FFF3FFF3FFF3FFF
 _BITS = 0x0001000100010001
 _WIDE_MASK = (1 << 62) - 1
 
@@ -38,7 +38,7 @@ def remove(left: Column, right: Column) -> Column:
     def lanes(a: Column, b: Column) -> Column:
         parts = [
             F.shiftleft(
-                (F.shiftrightunsigned(a, 16 * k) - F.shiftrightunsigned(b, 16 * k)).bitwiseAND(F.lit(0x7FFF)), 16 * k
+                (F.shiftrightunsigned(a, 16 * k) - F.shiftrightunsigned(b, 16 * k)).bitwiseAND(F.lit(0x3FFF)), 16 * k
             )
             for k in range(4)
         ]
@@ -54,7 +54,7 @@ def remove(left: Column, right: Column) -> Column:
 def fingerprint(text: Column) -> Column:
     """Array of longs: 32 words of four narrow lanes, two wide lanes, the number of paragraphs.
 
-    Each paragraph adds one bit to each of the 128 narrow lanes (modulo 2^15) and 62 bits to each wide
+    Each paragraph adds one bit to each of the 128 narrow lanes (modulo 2^14) and 62 bits to each wide
     lane (modulo 2^62). Order does not matter; :func:`merge` inserts and :func:`remove` deletes
     paragraphs. The empty and the null text have all zeros. One pass over the text, in the JVM.
     """
@@ -94,8 +94,8 @@ def likeness(left: Column, right: Column) -> Column:
     more = size(left) - size(right)
 
     def lane(a: Column, b: Column, k: int) -> Column:
-        d = (F.shiftrightunsigned(a, 16 * k) - F.shiftrightunsigned(b, 16 * k)).bitwiseAND(F.lit(0x7FFF))
-        d = 2 * F.when(d >= 0x4000, d - 0x8000).otherwise(d) - more
+        d = (F.shiftrightunsigned(a, 16 * k) - F.shiftrightunsigned(b, 16 * k)).bitwiseAND(F.lit(0x3FFF))
+        d = 2 * F.when(d >= 0x2000, d - 0x4000).otherwise(d) - more
         return (d * d).cast("double")
 
     narrow = lambda f: F.slice(f, 1, NARROW)
