@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 BREAKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Input bytes that one group of documents holds, where documents are dealt out in groups.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 
 
 def importable(spark: SparkSession) -> None:

@@ -16,6 +16,8 @@ from flakeform.sources.staging import stage
 SHINGLE, ALIKE = 5, (75, 100)
 #: A key with more sets than this is heavy: its sets meet one head at a time instead of each other.
 HEAVY = 32
+#: Cost of a subset, which is written, shuffled and matched as a row of its own, in entries of a list that is scanned.
+SUBSET_COST = 4
 #: Rounds in which the sets of a heavy key meet a head, before what is left meets directly.
 HEAD_ROUNDS = 2
 
@@ -143,7 +145,7 @@ def boundary(sets: DataFrame) -> int:
     scans = listed.groupBy("element", "size").agg(F.count(F.lit(1)).alias("sets")).join(lengths, "element")
     scans = scans.groupBy("size").agg(F.sum(F.col("sets") * F.least("length", F.lit(HEAVY))).alias("scan"))
     n = F.size("elements").cast("long")
-    subsets = sets.filter("elements is not null").groupBy("size").agg(F.sum(n * (n - 1) / 2 + n).alias("subsets"))
+    subsets = sets.filter("elements is not null").groupBy("size").agg(F.sum((n * (n - 1) / 2 + n) * SUBSET_COST).alias("subsets"))
     costs = sorted(tuple(row) for row in subsets.join(scans, "size").select("size", "subsets", "scan").collect())
     best, limit, saved = 0.0, 1, 0.0
     for size, subset_cost, scan_cost in costs:
