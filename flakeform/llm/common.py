@@ -72,6 +72,19 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [b"" if x is None else x for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
+def sliced(batch: list[bytes], most: int) -> Iterator[list[bytes]]:
+    """Consecutive texts with about so many bytes together, at least one at a time."""
+    some, size = [], 0
+    for text in batch:
+        some.append(text)
+        size += len(text)
+        if size >= most:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit numbers (the finalizer of splitmix64)."""
     x = x.astype(np.uint64, copy=True)
