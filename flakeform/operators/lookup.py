@@ -8,12 +8,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 # A side is broadcast only if its measured size stays below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Keys with more than this share of the rows are hot: there can be fewer than 200 of them.
 HOT_SHARE = 1 / 200
+# Columns by whose values rows that need no partner are spread.
+SPREAD_COLUMNS = 4
 _ROW_OVERHEAD = 64
 _FIXED_WIDTH = 16
 
@@ -84,7 +86,7 @@ def _split_lookup(
 
     Hot keys are answered by a broadcast of their few dimension rows. A row so settled, or with
     a null that can match nothing, needs no partner in the shuffle: it goes to a bucket chosen
-    by all its values and its input partition, so that even exact copies part. All other rows go
+    by its first values and its input partition, so that even exact copies part. All other rows go
     to the bucket of their key, as the dimension does. Each choice is the same when a task reruns.
     """
     hot = hot_keys(counted, keys).select(*[F.col(key).alias(f"_hot_{key}") for key in keys])
@@ -98,7 +100,8 @@ def _split_lookup(
     settled = F.coalesce(F.col("_hot"), F.lit(False))
     if not null_safe:
         settled = settled | reduce(operator.or_, [F.col(key).isNull() for key in keys])
-    spread = buckets + F.pmod(F.hash(F.spark_partition_id(), *rows.columns), buckets)
+    told_by = [field.name for field in rows.schema.fields if isinstance(field.dataType, AtomicType)][:SPREAD_COLUMNS]
+    spread = buckets + F.pmod(F.hash(F.spark_partition_id(), *told_by), buckets)
     bucketed = (
         rows.join(F.broadcast(hot_side), _matches(keys, "_hot_", null_safe), "left")
         .withColumn("_bucket", F.when(settled, spread).otherwise(F.pmod(F.hash(*keys), buckets)))
@@ -109,4 +112,4 @@ def _split_lookup(
     )
     found = [F.coalesce(f"_hot_value_{name}", f"_cold_value_{name}").alias(name) for name in columns]
     same = _matches(keys, "_dim_", null_safe) & (F.col("_bucket") == F.col("_dim_bucket"))
-    return bucketed.join(cold_side, same, "left").select(*rows.columns, *found)
+    return bucketed.join(cold_side.hint("merge"), same, "left").select(*rows.columns, *found)

@@ -104,6 +104,9 @@ def overlong_samples(df: DataFrame, order_by: str, limit: int = OVERLONG, per_co
         .limit(per_column)
         for name in text_columns(df)
     ]
+    if not samples:
+        nothing = df.select(F.lit("").alias("column"), F.col(order_by).alias("row_key"), F.lit("").alias("value"))
+        samples = [nothing.limit(0)]
     rank = F.row_number().over(Window.partitionBy("column").orderBy("row_key", "value"))
     return reduce(DataFrame.unionByName, samples).withColumn("rank", rank)
 

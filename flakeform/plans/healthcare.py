@@ -34,21 +34,75 @@ from flakeform.plans.specs import (
 # The flat input's 47 columns by the table that takes them over, key first where
 # the input brings one; all are text unless typed below.
 FLAT_GROUPS = {
-    "visit": "visit_id visit_datetime visit_type",
-    "patient": "patient_id patient_first_name patient_last_name patient_date_of_birth patient_gender"
-    " patient_address_line1 patient_address_line2 patient_city patient_state patient_zip"
-    " patient_phone patient_email",
-    "insurance": "insurance_id insurance_payer_name insurance_policy_number insurance_group_number"
-    " insurance_plan_type",
-    "billing": "billing_id billing_total_charge billing_amount_paid billing_date billing_payment_status",
-    "provider": "doctor_name doctor_title doctor_department",
-    "location": "clinic_name room_number",
-    "primary_diagnosis": "primary_diagnosis_code primary_diagnosis_desc",
-    "secondary_diagnosis": "secondary_diagnosis_code secondary_diagnosis_desc",
-    "treatment": "treatment_code treatment_desc",
-    "prescription": "prescription_id prescription_drug_name prescription_dosage prescription_frequency"
-    " prescription_duration_days",
-    "lab_order": "lab_order_id lab_test_code lab_name lab_result_value lab_result_units lab_result_date",
+    "visit": (
+        "visit_id",
+        "visit_datetime",
+        "visit_type",
+    ),
+    "patient": (
+        "patient_id",
+        "patient_first_name",
+        "patient_last_name",
+        "patient_date_of_birth",
+        "patient_gender",
+        "patient_address_line1",
+        "patient_address_line2",
+        "patient_city",
+        "patient_state",
+        "patient_zip",
+        "patient_phone",
+        "patient_email",
+    ),
+    "insurance": (
+        "insurance_id",
+        "insurance_payer_name",
+        "insurance_policy_number",
+        "insurance_group_number",
+        "insurance_plan_type",
+    ),
+    "billing": (
+        "billing_id",
+        "billing_total_charge",
+        "billing_amount_paid",
+        "billing_date",
+        "billing_payment_status",
+    ),
+    "provider": (
+        "doctor_name",
+        "doctor_title",
+        "doctor_department",
+    ),
+    "location": (
+        "clinic_name",
+        "room_number",
+    ),
+    "primary_diagnosis": (
+        "primary_diagnosis_code",
+        "primary_diagnosis_desc",
+    ),
+    "secondary_diagnosis": (
+        "secondary_diagnosis_code",
+        "secondary_diagnosis_desc",
+    ),
+    "treatment": (
+        "treatment_code",
+        "treatment_desc",
+    ),
+    "prescription": (
+        "prescription_id",
+        "prescription_drug_name",
+        "prescription_dosage",
+        "prescription_frequency",
+        "prescription_duration_days",
+    ),
+    "lab_order": (
+        "lab_order_id",
+        "lab_test_code",
+        "lab_name",
+        "lab_result_value",
+        "lab_result_units",
+        "lab_result_date",
+    ),
 }
 FLAT_TYPES = {
     "visit_datetime": TimestampType(),
@@ -76,7 +130,7 @@ FLAT_SCHEMA = StructType(
     [
         StructField(name, FLAT_TYPES.get(name, StringType()))
         for group in FLAT_GROUPS.values()
-        for name in group.split()
+        for name in group
     ]
 )
 
@@ -87,7 +141,7 @@ PROVIDER_SEQUENCE_WIDTH = 6
 
 
 def _columns(group: str) -> list[str]:
-    return FLAT_GROUPS[group].split()
+    return list(FLAT_GROUPS[group])
 
 
 def _fields(names: Iterable[str]) -> tuple[Field, ...]:

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables, as named by ``spark.checkpoint.dir``.
+    """Folder for intermediate tables: the session's checkpoint folder, or what ``spark.checkpoint.dir`` names.
 
     Where that is unset, a ``local[*]`` session gets a temporary folder of its own; a cluster
     session fails, since a folder on one machine would be invisible to the others.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

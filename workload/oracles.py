@@ -335,11 +335,14 @@ def _loaded() -> str:
 
 
 def _dim_hash_keys() -> str:
-    rows = [
-        f"SELECT '{table}' AS \"table\", {ID_OF[table]} AS id, CAST({keys[0]} AS VARCHAR) AS part0,"
-        f" CAST({keys[1]} AS VARCHAR) AS part1 FROM ({_hashed(table)})"
-        for table, keys in NATURAL.items()
-    ]
+    parts = max(len(keys) for keys in NATURAL.values())
+    rows = []
+    for table, keys in NATURAL.items():
+        columns = [f"CAST({name} AS VARCHAR) AS part{i}" for i, name in enumerate(keys)]
+        columns += [f"CAST(NULL AS VARCHAR) AS part{i}" for i in range(len(keys), parts)]
+        rows.append(
+            f"SELECT '{table}' AS \"table\", {ID_OF[table]} AS id, {', '.join(columns)} FROM ({_hashed(table)})"
+        )
     return _with_visits(" UNION ALL ".join(rows))
 
 
@@ -432,11 +435,11 @@ def oracles() -> dict[str, str]:
             f"SELECT DISTINCT doctor_department, {_initials('doctor_department')} AS code FROM visits"
         ),
         "pk_violations": _with_visits(
-            "SELECT billing_id, count(*) AS rows FROM visits GROUP BY billing_id HAVING count(*) > 1"
+            "SELECT billing_id, count(*) AS rows FROM visits WHERE billing_id IS NOT NULL GROUP BY billing_id HAVING count(*) > 1"
         ),
         "pk_violations_location": _with_visits(
             f"SELECT location_id, count(*) AS rows FROM ({_numbered('DimLocation')})"
-            " GROUP BY location_id HAVING count(*) > 1"
+            " WHERE location_id IS NOT NULL GROUP BY location_id HAVING count(*) > 1"
         ),
         "pk_nulls": _with_visits(f"SELECT * FROM ({_numbered('DimLocation')}) WHERE location_id IS NULL"),
         "fk_violations": _with_visits(

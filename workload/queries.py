@@ -130,14 +130,19 @@ def sequence_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [
-        _dim(spec.name, HASH, spark, sf_dir).select(
-            F.lit(spec.name).alias("table"),
-            F.col(spec.primary_key).alias("id"),
-            *[F.col(name).cast("string").alias(f"part{i}") for i, name in enumerate(spec.natural_key[:2])],
+    """Every surrogate dimension's ids with all parts of the natural key, as text."""
+    longest = max(len(spec.natural_key) for spec in STAR.surrogate_dims)
+    parts = []
+    for spec in STAR.surrogate_dims:
+        columns = [F.col(name).cast("string") for name in spec.natural_key]
+        columns += [F.lit(None).cast("string")] * (longest - len(columns))
+        parts.append(
+            _dim(spec.name, HASH, spark, sf_dir).select(
+                F.lit(spec.name).alias("table"),
+                F.col(spec.primary_key).alias("id"),
+                *[column.alias(f"part{i}") for i, column in enumerate(columns)],
+            )
         )
-        for spec in STAR.surrogate_dims
-    ]
     return reduce(DataFrame.unionByName, parts)
 
 
