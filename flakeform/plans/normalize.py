@@ -42,6 +42,11 @@ def natural_dim(flat: DataFrame, spec: NaturalDim) -> DataFrame:
     return dim.drop(*helpers)
 
 
+def surrogate_rows(flat: DataFrame, spec: SurrogateDim) -> DataFrame:
+    """A hash-keyed dimension's rows before deduplication, for measures that repeated rows do not change."""
+    return require(flat, spec.required).select(natural_hash(spec.natural_key).alias(spec.primary_key), *spec.natural_key)
+
+
 def surrogate_dim(flat: DataFrame, spec: SurrogateDim, keys: str = HASH) -> DataFrame:
     """Distinct attribute combinations with a surrogate id.
 
@@ -58,10 +63,13 @@ def surrogate_dim(flat: DataFrame, spec: SurrogateDim, keys: str = HASH) -> Data
     return rows.select(surrogate.alias(spec.primary_key), *spec.natural_key)
 
 
-def fact_with_hashes(flat: DataFrame, star: Snowflake) -> DataFrame:
-    """Fact whose foreign keys are computed in place: a projection, without join or shuffle."""
+def fact_with_hashes(flat: DataFrame, star: Snowflake, null_safe: bool = False) -> DataFrame:
+    """Fact whose foreign keys are computed in place: a projection, without join or shuffle.
+
+    As with lookups, a null in the natural key gives a null foreign key unless ``null_safe``.
+    """
     surrogates = {
-        dim.primary_key: _when_present(dim.required, natural_hash(dim.natural_key))
+        dim.primary_key: _when_present(dim.required if null_safe else dim.natural_key, natural_hash(dim.natural_key))
         for dim in star.surrogate_dims
     }
     return _fact_columns(flat, star, surrogates)
@@ -137,7 +145,7 @@ def normalize(
         else:
             tables[spec.name] = natural_dim(flat, spec)
     if keys == HASH:
-        fact = fact_with_hashes(flat, star)
+        fact = fact_with_hashes(flat, star, null_safe)
     else:
         fact = fact_with_lookups(flat, star, tables, null_safe, broadcast_bytes)
     tables[star.fact.name] = fact

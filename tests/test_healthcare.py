@@ -160,7 +160,7 @@ def test_hash_ids_resolve_and_absent_codes_stay_null(spark):
         {"primary_diagnosis_code": None},
         {"treatment_code": None},
     )
-    tables = normalize(flat, STAR, HASH)
+    tables = normalize(flat, STAR, HASH, null_safe=True)
     for spec in STAR.surrogate_dims:
         ids = set(column(tables[spec.name], spec.primary_key))
         assert all(re.fullmatch("[0-9a-f]{32}", value) for value in ids)
@@ -170,6 +170,19 @@ def test_hash_ids_resolve_and_absent_codes_stay_null(spark):
     assert [row["visit_id"] for row in missing] == ["v1"]
 
 
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_both_kinds_of_keys_are_null_in_the_same_rows(spark, null_safe):
+    parts = [name for spec in STAR.surrogate_dims for name in spec.natural_key]
+    flat = flat_rows(spark, {}, *[{name: None} for name in parts])
+    found = []
+    for keys in (HASH, SEQUENCE):
+        fact = normalize(flat, STAR, keys, null_safe)["FacVisit"]
+        # A readable id is null where a part of its prefix is, whatever else is asked for.
+        names = [spec.primary_key for spec in STAR.surrogate_dims if not null_safe or "diagnosis" in spec.primary_key]
+        found.append(bag(fact.select("visit_id", *[fact[name].isNull() for name in names])))
+    assert found[0] == found[1]
+
+
 @pytest.mark.parametrize("keys", [HASH, SEQUENCE])
 def test_fact_keeps_every_row_even_copies(spark, keys):
     flat = flat_rows(spark, *[{"visit_id": "same"}] * 3, {"doctor_name": "Other"}, {"clinic_name": None})

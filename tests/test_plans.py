@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from flakeform import healthcare
-from flakeform.operators.constraints import orphans
+from flakeform.operators.constraints import constraint_report, orphans
 from flakeform.operators.profile import global_length, overlong_samples
 from flakeform.operators.status import entity_status
-from flakeform.plans.normalize import fact_with_hashes, natural_dim, surrogate_dim
+from flakeform.plans.normalize import fact_with_hashes, natural_dim, normalize, surrogate_dim
 from flakeform.plans.specs import NaturalDim
 from flakeform.sources.staging import stage
 from workload.visits import visits
@@ -80,3 +80,9 @@ def test_reference_check_shuffles_each_side_once(conf, flat):
     conf(autoBroadcastJoinThreshold="-1")
     lost = orphans(flat, "patient_id", flat.filter(F.col("patient_id") > "5"), "patient_id")
     assert shuffles(lost) == 2
+
+
+def test_report_shuffles_all_keys_once(flat):
+    tables = normalize(flat, STAR)
+    report = constraint_report(tables, STAR)
+    assert shuffles(report) == sum(map(shuffles, tables.values())) + 2

@@ -127,13 +127,13 @@ def _distinct(table: str) -> str:
     return f"SELECT DISTINCT {', '.join(NATURAL[table])} FROM visits{needed}"
 
 
-def _numbered(table: str) -> str:
+def _numbered(table: str, threshold: int = 3) -> str:
     """Readable surrogate ids; sequence numbers by one global sort."""
     keys = NATURAL[table]
     ordering = ", ".join(f"{key} ASC NULLS FIRST" for key in keys)
     seq = f"CAST(row_number() OVER (ORDER BY {ordering}) - 1 AS VARCHAR)"
     if table == "DimProvider":
-        code = _reduced(_initials("doctor_department"), 3)
+        code = _reduced(_initials("doctor_department"), threshold)
         surrogate = f"({code}) || doctor_title || lpad({seq}, 6, '0')"
     elif table == "DimLocation":
         surrogate = f"({_reduced(_initials('clinic_name'), 4)}) || CAST(room_number AS VARCHAR)"
@@ -165,13 +165,12 @@ def _fact(ids: dict[str, str], source: str) -> str:
     return f"SELECT v.visit_id, {chosen}, v.visit_datetime, v.visit_type FROM {source}"
 
 
-def _fact_hashed() -> str:
+def _fact_hashed(null_safe: bool = False) -> str:
     ids = {}
-    for table in NATURAL:
-        rule = _hash(table)
-        if table in REQUIRED:
-            rule = f"CASE WHEN {REQUIRED[table]} IS NOT NULL THEN {rule} END"
-        ids[ID_OF[table]] = rule
+    for table, keys in NATURAL.items():
+        needed = [key for key in keys if not null_safe or key == REQUIRED.get(table)]
+        present = " AND ".join(f"{key} IS NOT NULL" for key in needed)
+        ids[ID_OF[table]] = f"CASE WHEN {present} THEN {_hash(table)} END" if needed else _hash(table)
     return _fact(ids, "visits v")
 
 
@@ -326,9 +325,18 @@ LOADED = [
 ]
 
 
+def _row_text(table: str) -> str:
+    texts = [
+        f"coalesce(CAST({f'CAST({name} AS DECIMAL(18,2))' if kind == 'double' else name} AS VARCHAR), '-')"
+        for name, kind in TYPES[table]
+    ]
+    return f"concat_ws('|', {', '.join(texts)})"
+
+
 def _loaded() -> str:
     rows = [
-        f"SELECT {position} AS position, '{table}' AS \"table\", count(*) AS rows FROM {table}"
+        f"SELECT {position} AS position, '{table}' AS \"table\", count(*) AS rows,"
+        f" CAST(sum(CAST('0x' || substring(md5({_row_text(table)}), 1, 12) AS BIGINT)) AS VARCHAR) AS digest FROM {table}"
         for position, table in enumerate(LOADED)
     ]
     return _with_visits(" UNION ALL ".join(rows), **_all_tables())
@@ -346,20 +354,24 @@ def _dim_hash_keys() -> str:
     return _with_visits(" UNION ALL ".join(rows))
 
 
-def _flat_again(treatment_desc: str) -> str:
-    """The flat rows with what normalizing changes: no description where the code is missing.
+def _flat_again(readable: bool) -> str:
+    """The flat rows with what normalizing changes: entities as last seen, no description where the code is missing.
 
-    A readable treatment id without a code is null, so there its description is lost as well.
+    A readable treatment id without a code is null, so there its description is lost as well; readable location ids
+    collide and are left out.
     """
-    return _with_visits(
-        "SELECT v.visit_id, v.visit_type, p.patient_zip, p.patient_status, v.doctor_name, v.doctor_title,"
-        " v.doctor_department, v.primary_diagnosis_code,"
-        " CASE WHEN v.primary_diagnosis_code IS NOT NULL THEN v.primary_diagnosis_desc END"
-        " AS primary_diagnosis_desc, v.treatment_code,"
-        f" {treatment_desc} AS treatment_desc, v.secondary_diagnosis_code,"
-        " CASE WHEN v.secondary_diagnosis_code IS NOT NULL THEN v.secondary_diagnosis_desc END"
-        f" AS secondary_diagnosis_desc FROM visits v LEFT JOIN ({_patient()}) p ON v.patient_id = p.patient_id"
-    )
+    chosen, joins = ["v.visit_id", "v.visit_type"], []
+    needs = {**REQUIRED, "DimTreatment": "treatment_code"} if readable else REQUIRED
+    for table, query in {**_natural_dims(), **NATURAL}.items():
+        key = ID_OF[table]
+        if table in NATURAL:
+            if not readable or table != "DimLocation":
+                needed = f"v.{needs[table]} IS NOT NULL" if table in needs else "TRUE"
+                chosen += [f"CASE WHEN {needed} THEN v.{name} END AS {name}" for name in NATURAL[table]]
+            continue
+        joins.append(f"LEFT JOIN ({query}) {table} ON v.{key} = {table}.{key}")
+        chosen += [f"{table}.{name}" for name, _ in TYPES[table] if name not in ID_OF.values()]
+    return _with_visits(f"SELECT {', '.join(chosen)} FROM visits v {' '.join(joins)}")
 
 
 def _dims() -> dict[str, str]:
@@ -381,7 +393,7 @@ def oracles() -> dict[str, str]:
         "entity_status_defaults": "WITH e AS (SELECT c_name, CASE WHEN c_acctbal >= 0 THEN c_custkey END AS custkey"
         " FROM customer), s AS (SELECT o_custkey,"
         f" {_status('''max(CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END)''')} AS status FROM orders"
-        " WHERE o_orderpriority = '1-URGENT' GROUP BY o_custkey)"
+        " WHERE o_custkey % 3 <> 0 GROUP BY o_custkey)"
         " SELECT c_name, custkey, coalesce(status, 'inactive') AS status FROM e LEFT JOIN s ON custkey = o_custkey",
         "cutoff_filter_ts": f"SELECT * FROM events WHERE ts <= TIMESTAMP '{EVENT_CUTOFF} 00:00:00'",
         "cutoff_filter_day": f"SELECT * FROM events WHERE CAST(ts AS DATE) <= DATE '{EVENT_CUTOFF}'",
@@ -404,10 +416,17 @@ def oracles() -> dict[str, str]:
         ),
         "length_buckets": "SELECT doc_id, CAST(length(text) AS INTEGER) AS length,"
         f" {BUCKET.format(n='length(text)')} AS size FROM documents",
+        "length_buckets_own_sizes": "SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 50 WHEN length(text) <= 200 THEN 200"
+        " WHEN length(text) <= 2000 THEN 2000 WHEN length(text) <= 20000 THEN 20000"
+        " ELSE (length(text) // 1000 + 1) * 1000 END AS INTEGER) AS size FROM documents",
+        "provider_own_threshold": _with_visits(_numbered("DimProvider", 1)),
+        "timestamp_text": "SELECT CAST(event_id AS VARCHAR) AS event_id,"
+        " strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S.%g') || '+02:00' AS ts FROM events",
         "sequence_numbers": "SELECT o_orderdate, o_orderkey,"
         " row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS seq FROM orders",
         "dim_hash_keys": _dim_hash_keys(),
         "fact_hash_fk": _with_visits(_fact_hashed()),
+        "fact_hash_fk_nullsafe": _with_visits(_fact_hashed(null_safe=True)),
         "fact_lookup": _with_visits(_fact_joined("=")),
         "fact_lookup_nullsafe": _with_visits(_fact_joined("IS NOT DISTINCT FROM")),
         "fact_lookup_shuffled": _with_visits(_fact_joined("=")),
@@ -455,6 +474,7 @@ def oracles() -> dict[str, str]:
         ),
         "csv_to_fact": _with_visits(_fact_hashed()),
         "load_and_read_back": _loaded(),
+        "export_and_read_back": _loaded(),
         "export_billing": _with_visits(
             "SELECT billing_id, insurance_id, CAST(billing_total_charge AS VARCHAR) AS billing_total_charge,"
             " CAST(billing_amount_paid AS VARCHAR) AS billing_amount_paid,"
@@ -462,6 +482,6 @@ def oracles() -> dict[str, str]:
             f" FROM ({_natural(BILLING, 'billing_id')})"
         ),
         "preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 20",
-        "normalize_roundtrip": _flat_again("v.treatment_desc"),
-        "normalize_roundtrip_sequence": _flat_again("CASE WHEN v.treatment_code IS NOT NULL THEN v.treatment_desc END"),
+        "normalize_roundtrip": _flat_again(readable=False),
+        "normalize_roundtrip_sequence": _flat_again(readable=True),
     }

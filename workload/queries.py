@@ -22,16 +22,18 @@ from flakeform.plans.normalize import (
     natural_dim,
     normalize,
     surrogate_dim,
+    surrogate_rows,
 )
 from flakeform.plans.specs import Field, NaturalDim, TableSpec
 from flakeform.sources.csv import read_csv, write_csv
 from flakeform.sources.staging import new_folder, stage
-from flakeform.sources.tables import export_tables, load_tables, preview
+from flakeform.sources.tables import export_tables, load_tables, preview, read_parquet
 from workload.visits import table, visits
 
 # The driver's dates run from 1995 to 2001, so this cutoff splits them.
 CUTOFF = "2000-12-31"
 EVENT_CUTOFF = "2024-01-10"
+OWN_SIZES = (200, 2000, 20000)
 STAR = healthcare(status_cutoff=CUTOFF)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,15 +65,12 @@ def entity_status_by_event(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_status_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers, some without an id, and orders, some without a date or an urgent one at all."""
+    """Customers, some without an id or any order, and orders, some without a date or a customer."""
     known = F.when(F.col("c_acctbal") >= 0, F.col("c_custkey"))
     entities = table(spark, sf_dir, "customer").select("c_name", known.alias("custkey"))
     dated = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
-    orders = (
-        table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderpriority") == "1-URGENT")
-        .select(F.col("o_custkey").alias("custkey"), dated.alias("ordered"))
-    )
+    owner = F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey"))
+    orders = table(spark, sf_dir, "orders").select(owner.alias("custkey"), dated.alias("ordered"))
     statuses = status.entity_status(orders, "custkey", "ordered", "status", CUTOFF)
     return status.attach_status(entities, stage(statuses, "statuses"), "custkey", "status")
 
@@ -115,6 +114,24 @@ def short_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def length_buckets_own_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    length = text_length(F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", length_bucket(length, OWN_SIZES).alias("size"))
+
+
+def provider_own_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = healthcare(provider_threshold=1).table("DimProvider")
+    return surrogate_dim(visits(spark, sf_dir, _inputs(spec)), spec, SEQUENCE)
+
+
+def timestamp_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as a CSV writes them in a fixed zone, read back as plain text."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    path = new_folder(spark, "events-csv")
+    write_csv(events, path, time_zone="+02:00")
+    return spark.read.csv(path, header=True)
+
+
 def length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length of every whole text and the size that holds it."""
     length = text_length(F.col("text"))
@@ -146,8 +163,8 @@ def dim_hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def fact_hash_fk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_with_hashes(visits(spark, sf_dir, _fact_inputs()), STAR)
+def _fact_hash_fk(spark: SparkSession, sf_dir: str, **options: bool) -> DataFrame:
+    return fact_with_hashes(visits(spark, sf_dir, _fact_inputs()), STAR, **options)
 
 
 def _fact_lookup(
@@ -185,9 +202,11 @@ def overlong_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def type_recommendation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lengths of surrogate dimensions are those of their rows before deduplication."""
     flat = stage(visits(spark, sf_dir), "visits")
     one_char = [spec.name for spec in STAR.tables if spec.one_char_text]
-    return profile.type_recommendation(normalize(flat, STAR), flat, one_char)
+    rows = {spec.name: surrogate_rows(flat, spec) for spec in STAR.surrogate_dims}
+    return profile.type_recommendation({**normalize(flat, STAR), **rows}, flat, one_char)
 
 
 def distinct_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,8 +239,7 @@ def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = stage(visits(spark, sf_dir), "visits")
-    staged = {name: stage(df, name) for name, df in normalize(flat, STAR).items()}
-    return constraints.constraint_report(staged, STAR)
+    return constraints.constraint_report(normalize(flat, STAR), STAR)
 
 
 def _csv_copy(df: DataFrame, label: str) -> str:
@@ -248,18 +266,32 @@ def csv_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_csv(spark, _csv_copy(flat, "visits-csv"), STAR, schema=flat.schema)["FacVisit"]
 
 
+def _digests(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table and a sum over them of 48 bits of the MD5 of all columns' text."""
+    found = []
+    for position, (name, df) in enumerate(tables.items()):
+        plain = [F.col(c).cast("decimal(18,2)") if kind == "double" else F.col(c) for c, kind in df.dtypes]
+        text = F.concat_ws("|", *[F.coalesce(value.cast("string"), F.lit("-")) for value in plain])
+        bits = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(20,0)")
+        measured = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(bits).cast("string").alias("digest"))
+        found.append(measured.select(F.lit(position).alias("position"), F.lit(name).alias("table"), "rows", "digest"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def load_and_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All tables staged, loaded in dependency order and read back: rows per table."""
+    """All tables loaded in dependency order and read back: rows and digest of the contents per table."""
     flat = stage(visits(spark, sf_dir), "visits")
     folder = new_folder(spark, "loaded")
-    migrate(normalize(flat, STAR), STAR, lambda df, name: df.write.parquet(f"{folder}/{name}"))
-    counts = [
-        spark.read.parquet(f"{folder}/{name}").agg(
-            F.lit(position).alias("position"), F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows")
-        )
-        for position, name in enumerate(STAR.load_order())
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    migrate(normalize(flat, STAR), STAR, lambda df, name: df.write.parquet(f"{folder}/{name}"), staged=False)
+    return _digests(read_parquet(spark, STAR, folder))
+
+
+def export_and_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables exported as CSV and read back by their types: rows and digest of the contents per table."""
+    tables = normalize(stage(visits(spark, sf_dir), "visits"), STAR)
+    folder = new_folder(spark, "exported")
+    export_tables(tables.__getitem__, STAR, folder)
+    return _digests({name: read_csv(spark, f"{folder}/{name}", df.schema) for name, df in tables.items()})
 
 
 def export_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,14 +308,18 @@ def preview_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _roundtrip(keys: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalize, then put the flat rows together again from the fact and its dimensions."""
+    """Normalize, then put the flat rows together again from the fact and its dimensions.
+
+    Readable location ids collide, so in sequence mode a visit cannot tell its clinic by them.
+    """
     flat = stage(visits(spark, sf_dir), "visits")
     tables = normalize(flat, STAR, keys, null_safe=True)
     fact = tables["FacVisit"]
     whole = fact
     wanted = {
-        "DimPatient": ["patient_zip", "patient_status"],
-        **{spec.name: spec.natural_key for spec in STAR.surrogate_dims if spec.name != "DimLocation"},
+        spec.name: [name for name in tables[spec.name].columns if name not in fact.columns]
+        for spec in STAR.dims
+        if keys == HASH or spec.name != "DimLocation"
     }
     for name, columns in wanted.items():
         key = STAR.table(name).primary_key
@@ -316,9 +352,13 @@ QUERIES: dict[str, Query] = {
     "lenient_casts": lenient_casts,
     "short_codes": short_codes,
     "length_buckets": length_buckets,
+    "length_buckets_own_sizes": length_buckets_own_sizes,
+    "provider_own_threshold": provider_own_threshold,
+    "timestamp_text": timestamp_text,
     "sequence_numbers": sequence_numbers,
     "dim_hash_keys": dim_hash_keys,
-    "fact_hash_fk": fact_hash_fk,
+    "fact_hash_fk": _fact_hash_fk,
+    "fact_hash_fk_nullsafe": partial(_fact_hash_fk, null_safe=True),
     "fact_lookup": _fact_lookup,
     "fact_lookup_nullsafe": partial(_fact_lookup, null_safe=True),
     "fact_lookup_shuffled": partial(_fact_lookup, broadcast_bytes=0),
@@ -341,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "csv_infer_roundtrip": csv_infer_roundtrip,
     "csv_to_fact": csv_to_fact,
     "load_and_read_back": load_and_read_back,
+    "export_and_read_back": export_and_read_back,
     "export_billing": export_billing,
     "preview": preview_customers,
     "normalize_roundtrip": partial(_roundtrip, HASH),
