@@ -28,7 +28,9 @@ UNDETERMINED = "und"
 #: Documents with a lower score are rejected by :func:`known_language`.
 MIN_SCORE = 0.5
 _LETTER = re.compile(r"[^\W\d_]")
-_STEP = 400_000
+_STEP = 200_000
+#: Words whose features are held at once.
+_SLICE = 20_000
 
 
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -79,8 +81,11 @@ class Model:
     def emissions(self, words: list[str]) -> np.ndarray:
         if not words:
             return np.zeros((0, len(self.languages)), np.float32)
-        number, starts = word_features(words)
-        return np.add.reduceat(self.weights[number], starts, axis=0)
+        sums = []
+        for at in range(0, len(words), _SLICE):
+            number, starts = word_features(words[at : at + _SLICE])
+            sums.append(np.add.reduceat(self.weights[number], starts, axis=0))
+        return np.concatenate(sums)
 
 
 def posteriors(
