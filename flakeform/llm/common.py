@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -51,12 +53,47 @@ def chunked(docs: DataFrame, text: str = "text") -> tuple[DataFrame, int]:
     return docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", F.octet_length(text)), F.lit(chunks)).cast("int")), chunks
 
 
+_kept: dict[str, object] = {}
+
+
+def kept_by_worker(name: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task under this name; what it kept under another one goes."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def trim() -> None:
+    """Give freed memory back to the system: Spark reuses Python workers, and allocators hold what a task has freed."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back:
+        give_back(0)
+
+
+def release_kept() -> None:
+    """Free what this Python worker kept for an earlier stage, and trim."""
+    _kept.clear()
+    trim()
+
+
 def mapped(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None],
+    schema: str,
+    keeps: bool = False,
 ) -> DataFrame:
-    """Apply a function from batch to batch (or table) over Arrow; None drops the batch."""
+    """Apply a function from batch to batch (or table) over Arrow; None drops the batch.
+
+    Unless the function ``keeps`` something by :func:`kept_by_worker`, what the worker kept before is freed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if keeps:
+            trim()
+        else:
+            release_kept()
         for batch in batches:
             out = function(batch)
             if isinstance(out, pa.Table):

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flakeform.llm.common import release_kept
+
 #: Fixed patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
@@ -197,6 +199,7 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             base, every = [], []
@@ -232,6 +235,7 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         return "".join([*out, value[at:]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for batch in batches:
             old = batch.column(text).to_pylist()
             new = [x and clean(x) for x in old]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flakeform.llm.census import FRAGMENT, answers, block_bits, fragments, settle
-from flakeform.llm.common import Words, chunked, mapped, mix, window_hashes
+from flakeform.llm.common import Words, chunked, mapped, mix, release_kept, window_hashes
 from flakeform.sources.staging import stage
 
 #: Words of a shingle; similarity as a fraction.
@@ -94,6 +94,7 @@ def prefixes(docs: DataFrame) -> DataFrame:
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return fragments(0, np.zeros(0, np.uint64), np.zeros(0, np.uint16), bits)
+        release_kept()
         group = _Group(left, right.column("node").combine_chunks())
         keys, number = np.unique(group.values, return_counts=True)
         return fragments(left.column("chunk")[0].as_py(), keys, np.minimum(number, 65535).astype(np.uint16), bits, narrow=True)
@@ -101,6 +102,7 @@ def prefixes(docs: DataFrame) -> DataFrame:
     def choose(left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, list] = {"node": [], "size": [], "elements": [], "places": [], "shared": []}
         if left.num_rows:
+            release_kept()
             nodes = right.filter(pc.equal(right.column("block"), -1)).column("node").combine_chunks()
             group = _Group(left, nodes)
             keys, inverse = np.unique(group.values, return_inverse=True)

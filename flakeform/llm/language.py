@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flakeform.llm.common import mapped, texts
+from flakeform.llm.common import release_kept, texts, trim
 
 #: Labelled documents per language that the model is fitted on, chosen by a hash of the id.
 SAMPLE_PER_LANGUAGE = 200
@@ -252,8 +252,8 @@ def _document_scores(model: Model, batch: list[bytes], cache: dict[bytes, int],
                 chains.append(words[at : at + LONGEST_CHAIN])
                 owner.append(i)
                 pending += len(chains[-1])
-        if pending >= _STEP:
-            flush()
+                if pending >= _STEP:
+                    flush()
     if chains:
         flush()
     return total
@@ -272,6 +272,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
+        release_kept()
         model, cache, table = shared.value, {}, []
         for batch in batches:
             text = texts(batch)
@@ -287,6 +288,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     scores.append(float(min(1.0, max(0.0, row[best] / row[-1]))))
             extra = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             yield pa.record_batch([*batch.columns, *extra], [*batch.schema.names, "lang_pred", "score"])
+        cache.clear()
+        table.clear()
+        trim()
 
     from pyspark.sql.types import DoubleType, StringType, StructType
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flakeform.llm.common import mapped, texts
+from flakeform.llm.common import kept_by_worker, mapped, release_kept, texts
 from flakeform.sources.staging import stage
 
 SEQUENCE = 2048
@@ -87,14 +87,9 @@ class WordEncoder:
             at = to
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """The Python worker's encoder, kept between tasks."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return kept_by_worker(f"encoder {path}", lambda: WordEncoder(path))
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -128,7 +123,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = SEQUENCE) ->
     rows = docs.select(
         F.col("doc_id").cast("long"), F.monotonically_increasing_id().alias("copy"), F.col("text").cast("string")
     )
-    return mapped(rows, cut, "doc_id long, copy long, piece int, start long, length long, ids_crc32 long")
+    return mapped(rows, cut, "doc_id long, copy long, piece int, start long, length long, ids_crc32 long", keeps=True)
 
 
 class BestFit:
@@ -179,6 +174,7 @@ def _packed(items: DataFrame, capacity: int, open_bins: int, level: int) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        release_kept()
         base = (level << 56) + (TaskContext.get().partitionId() << 36)
         fit, rows = BestFit(capacity, open_bins), []
         for batch in batches:
