@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,11 @@ PIECES_PER_PACKER = 32768
 #: Levels of packers: bins that are still open at the end of one level are items of the next.
 LEVELS = 2
 #: Encoded words that a Python worker keeps.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 450_000
+#: Words that the tokenizer takes in one call; its results hold far more than the ids.
+ENCODED_AT_ONCE = 8192
+#: Rows of a batch whose texts are held at once.
+ROWS_AT_ONCE = 1000
 END = b"\0\0\0\0"
 _SIMPLE = re.compile(r"([a-zà-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
@@ -46,8 +51,11 @@ class WordEncoder:
         self.pieces: dict[str, bytes] = {"": b""}
 
     def _encode(self, tokenizer, pieces: list[str]) -> list[bytes]:
-        got = tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in got]
+        out: list[bytes] = []
+        for at in range(0, len(pieces), ENCODED_AT_ONCE):
+            got = tokenizer.encode_batch(pieces[at : at + ENCODED_AT_ONCE], add_special_tokens=False)
+            out += [np.array(x.ids, "<u4").tobytes() for x in got]
+        return out
 
     def learn(self, words: set[bytes]) -> None:
         """Encode words that are not known yet."""
@@ -76,7 +84,7 @@ class WordEncoder:
         at = 0
         while at < len(batch):
             words, size, to = [], 0, at
-            while to < len(batch) and (size < 4 << 20 or to == at):
+            while to < len(batch) and (size < 2 << 20 or to == at):
                 words.append(batch[to].lower().split())
                 size += len(batch[to])
                 to += 1
@@ -109,8 +117,9 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = SEQUENCE) ->
     def cut(batch: pa.RecordBatch) -> pa.Table:
         encode = encoder(path or tokenizer_path()).encode
         out: list[list] = [[], [], [], [], [], []]
-        ids = zip(batch.column("doc_id").to_pylist(), batch.column("copy").to_pylist(), encode(texts(batch)), strict=True)
-        for doc, copy, data in ids:
+        parts = [batch.slice(at, ROWS_AT_ONCE) for at in range(0, batch.num_rows, ROWS_AT_ONCE)]
+        ids = (zip(x.column("doc_id").to_pylist(), x.column("copy").to_pylist(), encode(texts(x)), strict=True) for x in parts)
+        for doc, copy, data in chain.from_iterable(ids):
             for k in range(0, len(data), 4 * length):
                 part = data[k : k + 4 * length]
                 row = (doc, copy, k // (4 * length), k // 4, len(part) // 4, zlib.crc32(part))
