@@ -27,6 +27,16 @@ def importable(spark: SparkSession) -> None:
         context.environment["PYTHONPATH"] = f"{root}:{paths}".rstrip(":")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most so many documents, unless the session sets its own number of rows.
+
+    Executors and Python workers hold whole batches, several at a time; by default one has 10,000 rows.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
