@@ -11,38 +11,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flakeform.llm import decoding, jaccard, language, mixing, packing
-from flakeform.llm.common import crc_fold, documents, importable
+from flakeform.llm.common import crc_fold, documents, importable, small_batches
 from flakeform.sources.staging import stage
 
 
+def _prepare(spark: SparkSession) -> None:
+    importable(spark)
+    small_batches(spark)
+
+
 def told_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language cannot be told; learn from the labelled ones outside the held-out fold."""
-    importable(spark)
+    _prepare(spark)
     model = language.train(docs.filter(crc_fold(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang"))
     return language.known_language(docs, model) if model.languages else docs.limit(0)
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies."""
-    importable(spark)
+    _prepare(spark)
     return jaccard.one_of_each(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets, nested ones too, by their kind."""
-    importable(spark)
+    _prepare(spark)
     return decoding.redact(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat and drop documents so that sources come near their target weights."""
-    importable(spark)
+    _prepare(spark)
     return mixing.mix_sources(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all rows, with their places in sequences. ``copy`` tells repeated rows apart."""
-    importable(spark)
+    _prepare(spark)
     return packing.pack_documents(docs)
 
 
