@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flakeform.llm.census import FRAGMENT, answers, block_bits, fragments, settle
@@ -303,6 +303,17 @@ def link_texts(sets: DataFrame) -> DataFrame:
     return stage(links.unionByName(verified(met.select(*pair).distinct(), sets)), "links")
 
 
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (``doc_id``, ``node``), and texts (``node``, ``size``, ``root``) with the root of their component; staged."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("node", F.xxhash64("text"))
+    sets = stage(prefixes(rows), "sets")
+    roots = stage(components(link_texts(sets)), "components")
+    ids = stage(rows.select("doc_id", "node"), "nodes")
+    named = sets.select("node", "size").join(roots, "node", "left")
+    return ids, stage(named.withColumn("root", F.coalesce("root", "node")), "named")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id``.
 
@@ -311,14 +322,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     take part; their component is named by the smallest id that is not null, if there is one. Repeated
     rows stay.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("node", F.xxhash64("text"))
-    sets = stage(prefixes(rows), "sets")
-    roots = stage(components(link_texts(sets)), "components")
-    ids = stage(rows.select("doc_id", "node"), "nodes")
-    firsts = ids.groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = sets.select("node", "size").join(firsts, "node").join(roots, "node", "left")
-    named = stage(named.withColumn("root", F.coalesce("root", "node")), "named")
+    ids, named = _grouped(docs)
+    named = stage(named.join(ids.groupBy("node").agg(F.min("doc_id").alias("least")), "node"), "named")
     least = named.groupBy("root").agg(F.min("least").alias("component"))
     of_node = named.select("node", "size", "root").join(least, "root").select("node", "size", "component")
     return ids.join(of_node, "node").select(
@@ -328,14 +333,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def survivors(ids: DataFrame, named: DataFrame) -> DataFrame:
+    """The row that stays of every component with words: ``_id``, ``_node``, and its ``copies`` in the table.
+
+    The smallest id that is not null, else null; among texts with that id, the one with the smallest hash.
+    """
+    rows = ids.groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("copies"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "copies")
+    firsts = rows.groupBy("node").agg(F.min(first).alias("first"))
+    chosen = named.filter("size > 0").join(firsts, "node").groupBy("root").agg(F.min("first").alias("first"))
+    return chosen.select(F.col("first.doc_id").alias("_id"), F.col("first.node").alias("_node"), F.col("first.copies").alias("copies"))
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One document of each group of near copies: the one whose id names it. Columns as in the input.
+    """One document of each group of near copies: of those with the smallest id, nulls last, the one whose
+    text has the smallest hash. Columns as in the input.
 
-    Documents without words stay. Of repeated rows with one id, one stays.
+    Documents without words stay. Of rows repeated with id and text one stays, the first by a hash of all
+    columns; rows without words and id are not taken for repeats.
     """
-    found = near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stage(kept.select(F.col("doc_id").alias("_kept_id")).distinct(), "kept")
-    out = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
-    repeated = docs.groupBy("doc_id").count().filter("count > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates(["doc_id"])
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    wordless = ~text.rlike(r"[^\x20\x09-\x0D]")
+    kept = stage(survivors(*_grouped(docs)), "kept")
+    marked = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_node": F.xxhash64(text)})
+
+    def first(rows: DataFrame) -> DataFrame:
+        order = Window.partitionBy("_node", "_null", "_key").orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
+        return rows.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"_null": F.col("_id").isNull(), "_key": F.coalesce("_id", F.lit(0))}).drop("_id")
+
+    with_words = keyed(marked.filter(~wordless))
+    if not kept.filter("copies > 1").isEmpty():
+        with_words = first(with_words)
+    with_words = with_words.join(keyed(kept), ["_node", "_null", "_key"], "left_semi")
+    blank = marked.filter(wordless)
+    named = first(keyed(blank.filter("_id is not null")))
+    return with_words.select(*docs.columns).unionByName(named.select(*docs.columns)).unionByName(
+        blank.filter("_id is null").select(*docs.columns)
+    )

@@ -70,5 +70,33 @@ def test_one_of_each(spark):
     assert ids.count(14) == 1
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_every_component_keeps_one_row(spark, parts):
+    """Null ids, an id repeated with other texts and with the same one, and rows without words."""
+    words = lambda x: " ".join(f"{x}{i}" for i in range(60))
+    table = [
+        (None, words("a")), (None, words("b")), (None, words("b") + " tail"), (None, words("c")), (None, words("c")),
+        (1, words("a")), (1, words("d")), (1, words("e")), (2, words("e")), (3, words("f")), (3, words("f")),
+        (4, words("g") + " tail"), (None, words("g")), (5, ""), (5, " "), (5, ""), (6, None), (None, ""), (None, None),
+    ]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(parts)
+    kept = one_of_each(docs).collect()
+    ids = {x: [r["doc_id"] for r in kept if (r["text"] or "").startswith(f"{x}0")] for x in "abcdefg"}
+    assert ids == {"a": [1], "b": [None], "c": [None], "d": [1], "e": [1], "f": [3], "g": [4]}
+    blank = sorted((r["doc_id"] or 0, r["text"] or "") for r in kept if not (r["text"] or "").strip())
+    assert blank == [(0, ""), (0, ""), (5, ""), (5, " "), (6, "")]
+
+
+def test_every_component_of_edges_keeps_one_row(spark):
+    docs = edges(spark)
+    kept = [(r["doc_id"], r["text"]) for r in one_of_each(docs).collect()]
+    nodes, named = jaccard._grouped(docs)
+    roots = {r["node"]: r["root"] for r in named.filter("size > 0").collect()}
+    hashed = spark.createDataFrame(kept, "doc_id long, text string").selectExpr("xxhash64(coalesce(text, '')) node").collect()
+    found = [roots[r["node"]] for r in hashed if r["node"] in roots]
+    assert sorted(found) == sorted(set(roots.values()))
+    assert (None, "alone among nulls") in kept
+
+
 def test_empty(spark):
     assert near_duplicates(empty(spark)).count() == 0
