@@ -23,6 +23,8 @@ MAX_LANGUAGES = 64
 CHAIN, CHAINS_PER_DOC, EPOCHS = 32, 6, 6
 #: Words that one chain has in prediction; a line is cut into chains of so many.
 LONGEST_CHAIN = 256
+#: Characters of a token; a longer word is cut into so many.
+LONGEST_TOKEN = 40
 FEATURES = 1 << 18
 UNDETERMINED = "und"
 #: Documents with a lower score are rejected by :func:`known_language`.
@@ -33,13 +35,30 @@ _STEP = 200_000
 _SLICE = 20_000
 
 
+def tokens(words: list[str]) -> list[str]:
+    """The words, long ones cut into tokens of ``LONGEST_TOKEN`` characters: a line of a script without spaces is one word."""
+    if max(map(len, words), default=0) <= LONGEST_TOKEN:
+        return words
+    return [w[at : at + LONGEST_TOKEN] for w in words for at in range(0, len(w), LONGEST_TOKEN)]
+
+
+def byte_tokens(words: list[bytes]) -> list[bytes]:
+    """As :func:`tokens`, for words in UTF-8."""
+    if max(map(len, words), default=0) <= LONGEST_TOKEN:
+        return words
+    out: list[bytes] = []
+    for w in words:
+        out += [w] if len(w) <= LONGEST_TOKEN else [t.encode() for t in tokens([w.decode("utf-8", "replace")])]
+    return out
+
+
 def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of words: the numbers of all features, and where each word's begin.
 
     N-grams of two and three characters with marked word ends, affixes of three letters, and the
     whole word for the lexicon.
     """
-    marked = [f"^{w[:40]}$" for w in words]
+    marked = [f"^{w}$" for w in words]
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     sizes = np.fromiter(map(len, marked), np.int64, len(marked))
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -138,7 +157,7 @@ def fit(samples: dict[str, list[str]], seed: int = 7) -> Model:
     parts: list[tuple[int, list[str]]] = []
     for label, name in enumerate(languages):
         for text in samples[name]:
-            words = text.split()
+            words = tokens(text.split())
             places = range(0, len(words), CHAIN // 2)
             for at in places if len(places) <= CHAINS_PER_DOC else draw.choice(places, CHAINS_PER_DOC, replace=False):
                 parts.append((label, words[at : at + CHAIN // 2]))
@@ -247,7 +266,7 @@ def _document_scores(model: Model, batch: list[bytes], cache: dict[bytes, int],
 
     for i, text in enumerate(batch):
         for line in text.split(b"\n"):
-            words = line.split()
+            words = byte_tokens(line.split())
             for at in range(0, len(words), LONGEST_CHAIN):
                 chains.append(words[at : at + LONGEST_CHAIN])
                 owner.append(i)
@@ -263,7 +282,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """The input with ``lang_pred`` and ``score`` (0 to 1) added, from the whole text of each row.
 
     Every word gets label probabilities by forward-backward along its line (cut into chains of
-    ``LONGEST_CHAIN`` words); a document's language has the largest sum, the first in code-point order
+    ``LONGEST_CHAIN`` words, long words into several); a document's language has the largest sum, the first in code-point order
     on a tie, and the score is its mean. Null texts, texts without a letter, and a model without
     languages give ``und`` with score 0. Columns named like the added ones are replaced.
     """

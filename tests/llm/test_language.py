@@ -54,6 +54,26 @@ def test_held_out_accuracy_and_code_switching(spark):
     assert (label == np.array(want)).mean() > 0.9
 
 
+def test_whole_long_words_are_read(spark):
+    """Lines without spaces, which differ after 40 characters only, and outweigh short words by their length."""
+    draw = np.random.default_rng(3)
+
+    def line(alphabet, n):
+        return "".join(draw.choice(list(alphabet), n))
+
+    same = line("一二三四五", 40)
+    table = [(i, same + line(letters, 400), lang) for i in range(60) for lang, letters in (("p", "山川田日月"), ("q", "人口手足目"))]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string")
+    model = language.train(docs.filter("doc_id < 40"))
+    rows = language.identify(docs.filter("doc_id >= 40"), model).collect()
+    assert len(rows) == 40 and all(r["lang"] == r["lang_pred"] and r["score"] > 0.8 for r in rows)
+    mixed = spark.createDataFrame([(1, line("山川田日月", 4000) + "\n" + "\n".join(line("人口手足目", 3) for _ in range(20)))], "doc_id long, text string")
+    assert [r["lang_pred"] for r in language.identify(mixed, model).collect()] == ["p"]
+    word = "é" * 30 + "漢" * 100
+    assert b"".join(language.byte_tokens([b"a", word.encode()])) == b"a" + word.encode()
+    assert [t.decode() for t in language.byte_tokens([word.encode()])] == language.tokens([word])
+
+
 def test_edges_and_filter(spark):
     _, _, model = trained(spark)
     docs = edges(spark)
