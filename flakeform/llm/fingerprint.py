@@ -88,19 +88,22 @@ def likeness(left: Column, right: Column) -> Column:
 
     A lane counts ones, so twice a lane's difference less the difference in paragraphs is a sum of
     random signs over the paragraphs that only one side has: its mean square over all lanes estimates
-    their number, from fingerprints alone.
+    their number, from fingerprints alone. Lanes tell that sum modulo 2^15, and the value next to 0 is taken:
+    right for texts of any length, as long as no paragraph is repeated more than thousands of times on one side
+    only. The number is at least the difference in paragraphs.
     """
     size = lambda f: F.element_at(f, NARROW + WIDE + 1)
     more = size(left) - size(right)
 
     def lane(a: Column, b: Column, k: int) -> Column:
         d = (F.shiftrightunsigned(a, 16 * k) - F.shiftrightunsigned(b, 16 * k)).bitwiseAND(F.lit(0x3FFF))
-        d = 2 * F.when(d >= 0x2000, d - 0x4000).otherwise(d) - more
+        d = F.pmod(2 * d - more + 0x4000, F.lit(0x8000)) - 0x4000
         return (d * d).cast("double")
 
     narrow = lambda f: F.slice(f, 1, NARROW)
     squares = F.zip_with(narrow(left), narrow(right), lambda a, b: sum((lane(a, b, k) for k in range(1, 4)), lane(a, b, 0)))
     apart = F.aggregate(squares, F.lit(0.0), lambda total, x: total + x) / F.lit(4.0 * NARROW)
+    apart = F.greatest(apart, F.abs(more).cast("double"))
     total = size(left) + size(right)
     near = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - apart / total))
     return F.when(left == right, F.lit(1.0)).when(total == 0, F.lit(1.0)).otherwise(near)

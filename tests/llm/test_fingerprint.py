@@ -72,6 +72,19 @@ def test_likeness_estimates_common_paragraphs(spark):
         assert r["near"] == pytest.approx(r["share"], abs=0.08)
 
 
+def test_likeness_of_long_texts(spark):
+    """More paragraphs on one side only than a lane counts."""
+    lines = [f"line {i}\n" for i in range(50_000)]
+    rows = [(0, 15_000), (0, 25_000), (0, 49_000), (40_000, 50_000), (0, 50_000)]
+    df = spark.createDataFrame([("".join(lines), "".join(lines[a:b])) for a, b in rows], "a string, b string")
+    pair = df.select(fp.fingerprint(F.col("a")).alias("a"), fp.fingerprint(F.col("b")).alias("b"))
+    got = pair.select(fp.likeness(F.col("a"), F.col("b")), fp.likeness(F.col("b"), F.col("a"))).collect()
+    for (a, b), both in zip(rows, got, strict=True):
+        assert list(both) == pytest.approx([2 * (b - a) / (50_000 + b - a)] * 2, abs=0.12)
+    none = spark.createDataFrame([("a\n" * 0x8000, "")], "a string, b string")
+    assert none.select(fp.likeness(fp.fingerprint(F.col("a")), fp.fingerprint(F.col("b")))).first()[0] == 0
+
+
 def test_query_digests(spark):
     from flakeform.llm.queries import op4_fingerprint
 
