@@ -17,8 +17,10 @@ from flakeform.llm.common import release_kept, texts, trim
 SAMPLE_PER_LANGUAGE = 200
 #: Characters of a sampled document that are used.
 SAMPLE_CHARS = 4000
-#: Languages that are learned at most: the most frequent ones.
-MAX_LANGUAGES = 64
+#: Languages up to which batches, caches and documents per language have their full size; with more, they shrink.
+#: Every language is learned, from ``LEAST_PER_LANGUAGE`` documents at least where it has them; its weights take 1 MB.
+MANY_LANGUAGES = 64
+LEAST_PER_LANGUAGE = 20
 #: Words that one training chain has, chains taken from a document, and rounds over all chains.
 CHAIN, CHAINS_PER_DOC, EPOCHS = 32, 6, 6
 #: Words that one chain has in prediction; a line is cut into chains of so many.
@@ -35,6 +37,11 @@ _STEP = 200_000
 _SLICE = 20_000
 
 
+def _fewer(size: int, languages: int) -> int:
+    """A size that is full for ``MANY_LANGUAGES`` and shrinks as languages grow."""
+    return max(1, size * MANY_LANGUAGES // max(MANY_LANGUAGES, languages))
+
+
 def tokens(words: list[str]) -> list[str]:
     """The words, long ones cut into tokens of ``LONGEST_TOKEN`` characters: a line of a script without spaces is one word."""
     if max(map(len, words), default=0) <= LONGEST_TOKEN:
@@ -101,8 +108,9 @@ class Model:
         if not words:
             return np.zeros((0, len(self.languages)), np.float32)
         sums = []
-        for at in range(0, len(words), _SLICE):
-            number, starts = word_features(words[at : at + _SLICE])
+        step = _fewer(_SLICE, len(self.languages))
+        for at in range(0, len(words), step):
+            number, starts = word_features(words[at : at + step])
             sums.append(np.add.reduceat(self.weights[number], starts, axis=0))
         return np.concatenate(sums)
 
@@ -210,18 +218,20 @@ def _sums(weights: np.ndarray, number: np.ndarray, starts: np.ndarray, ends: np.
 
 
 def training_sample(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, list[str]]:
-    """Texts of a bounded hash sample per language: at most ``per_language * MAX_LANGUAGES`` documents.
+    """Texts of a hash sample of every language: at most ``per_language`` documents of each, fewer of each
+    beyond ``MANY_LANGUAGES`` languages.
 
     Ids are chosen first; then ``SAMPLE_CHARS`` characters of each text, from a hash-chosen start, come
     to the driver.
     """
     keyed = labelled.filter("lang is not null and text is not null and doc_id is not null")
-    top = keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
+    languages = keyed.select("lang").distinct().count()
+    per_language = min(per_language, max(LEAST_PER_LANGUAGE, _fewer(per_language, languages)))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = keyed.select("lang", "doc_id").join(F.broadcast(top), "lang", "left_semi")
-    ids = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).select("doc_id").distinct()
+    ids = keyed.select("lang", "doc_id")
+    ids = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).select("lang", "doc_id").distinct()
     start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.char_length("text") - SAMPLE_CHARS)).cast("int") + 1
-    rows = keyed.join(F.broadcast(ids), "doc_id", "left_semi").select(
+    rows = keyed.join(F.broadcast(ids), ["lang", "doc_id"], "left_semi").select(
         "lang", F.when(F.char_length("text") > SAMPLE_CHARS, F.substring(F.col("text"), start, F.lit(SAMPLE_CHARS))).otherwise(F.col("text")).alias("text"), "doc_id"
     )
     samples: dict[str, list[str]] = {}
@@ -247,7 +257,7 @@ def _document_scores(model: Model, batch: list[bytes], cache: dict[bytes, int],
         nonlocal pending
         words = [w for chain in chains for w in chain]
         new = list(set(words) - cache.keys())
-        if len(cache) + len(new) > 400_000:
+        if len(cache) + len(new) > _fewer(400_000, k):
             cache.clear()
             table.clear()
             new = list(set(words))
@@ -271,7 +281,7 @@ def _document_scores(model: Model, batch: list[bytes], cache: dict[bytes, int],
                 chains.append(words[at : at + LONGEST_CHAIN])
                 owner.append(i)
                 pending += len(chains[-1])
-                if pending >= _STEP:
+                if pending >= _fewer(_STEP, k):
                     flush()
     if chains:
         flush()

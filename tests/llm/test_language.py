@@ -74,6 +74,18 @@ def test_whole_long_words_are_read(spark):
     assert [t.decode() for t in language.byte_tokens([word.encode()])] == language.tokens([word])
 
 
+def test_every_language_is_learned(spark):
+    """More languages than 64, the rarest with two documents."""
+    draw = np.random.default_rng(5)
+    words = {f"l{x:02}": ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(20)] for x in range(80)}
+    table = [(10 * x + i, " ".join(draw.choice(own, 60)), lang) for x, (lang, own) in enumerate(words.items()) for i in range(2 + (x < 64))]
+    model = language.train(spark.createDataFrame(table, "doc_id long, text string, lang string"))
+    assert model.languages == sorted(words)
+    new = [(x, " ".join(draw.choice(own, 40)), lang) for x, (lang, own) in enumerate(words.items())]
+    rows = language.identify(spark.createDataFrame(new, "doc_id long, text string, lang string"), model).collect()
+    assert all(r["lang"] == r["lang_pred"] for r in rows)
+
+
 def test_edges_and_filter(spark):
     _, _, model = trained(spark)
     docs = edges(spark)
