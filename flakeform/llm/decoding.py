@@ -5,9 +5,12 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
 import hashlib
+import itertools
 import lzma
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,21 +33,42 @@ _URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 _PLAIN_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9a-f]+")
-#: A layer may expand its token so many times at most; what is beyond is left encoded.
-MAX_EXPANSION = 1000
+#: Two or more lines of base64 that follow each other, indented or not.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+#: Characters of inflated text that are scanned at once, and how many of them the next block repeats.
+BLOCK, OVERLAP = 1 << 22, 1 << 16
 
 Span = tuple[int, int, str]
 
 
+class _Same:
+    """A list of one number repeated, without its memory."""
+
+    def __init__(self, value: int, size: int):
+        self.value, self.size = value, size
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, at: int | slice) -> int | _Same:
+        return _Same(self.value, len(range(*at.indices(self.size)))) if isinstance(at, slice) else self.value
+
+    def __iter__(self) -> Iterator[int]:
+        return itertools.repeat(self.value, self.size)
+
+
 @dataclass(frozen=True)
 class Layer:
     """A decoded text. Character i came from characters ``starts[i]`` up to ``ends[i]`` of the input."""
 
     text: str
-    starts: list[int] | range
-    ends: list[int] | range
+    starts: list[int] | range | _Same
+    ends: list[int] | range | _Same
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
+        if isinstance(self.starts, _Same):
+            return self.starts.value, self.ends.value
         return min(self.starts[start:end]), max(self.ends[start:end])
 
 
@@ -57,14 +81,23 @@ def base_spans(text: str) -> list[Span]:
     return [(start, end, KINDS[kind]) for start, end, kind in sorted(found, key=lambda x: (x[0], x[2]))]
 
 
+def _readable(text: str) -> bool:
+    """Not mostly control characters."""
+    if text.isprintable():
+        return bool(text)
+    return 2 * sum(unicodedata.category(c) == "Cc" and c not in "\r\n\t" for c in text) < len(text)
+
+
 def _characters(data: bytes) -> tuple[str, list[int]] | None:
-    """Text of valid UTF-8 that is mostly printable, and the byte at which each character begins."""
+    """Text of valid UTF-8 that is not mostly control characters, and the byte at which each character begins."""
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    if not text or sum(c.isprintable() or c in "\r\n\t" for c in text) < len(text):
+    if not _readable(text):
         return None
+    if text.isascii():
+        return text, list(range(len(text) + 1))
     places, at = [], 0
     for c in text:
         places.append(at)
@@ -75,18 +108,20 @@ def _characters(data: bytes) -> tuple[str, list[int]] | None:
 def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The whole layer with each match decoded in place; None if nothing changes."""
     text, starts, ends, at = [], [], [], 0
+    same = isinstance(layer.starts, _Same)
 
     def copy(a: int, b: int) -> None:
         text.append(layer.text[a:b])
-        starts.extend(layer.starts[a:b])
-        ends.extend(layer.ends[a:b])
+        if not same:
+            starts.extend(layer.starts[a:b])
+            ends.extend(layer.ends[a:b])
 
     for m in pattern.finditer(layer.text):
         if (got := decode(m[0])) is not None:
             new, places = got
             copy(at, m.start())
             text.append(new)
-            for i in range(len(new)):
+            for i in range(0 if same else len(new)):
                 a, b = layer.origin(m.start() + places[i], m.start() + places[i + 1])
                 starts.append(a)
                 ends.append(b)
@@ -94,7 +129,10 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     if not at:
         return None
     copy(at, len(layer.text))
-    return Layer("".join(text), starts, ends)
+    new = "".join(text)
+    if same:
+        return Layer(new, _Same(layer.starts.value, len(new)), _Same(layer.ends.value, len(new)))
+    return Layer(new, starts, ends)
 
 
 def _url(token: str) -> tuple[str, list[int]] | None:
@@ -112,65 +150,203 @@ def _escape(token: str) -> tuple[str, list[int]] | None:
     return chr(code), [0, len(token)]
 
 
-def _inflated(data: bytes) -> bytes | None:
-    """Decompressed gzip, zlib, bz2 or xz data, told by its first bytes."""
-    limit = MAX_EXPANSION * len(data)
+class _Zlib:
+    """zlib and gzip data with the interface of the other decompressors."""
+
+    def __init__(self) -> None:
+        self.machine, self.rest = zlib.decompressobj(47), b""
+
+    def decompress(self, data: bytes, most: int) -> bytes:
+        out = self.machine.decompress(self.rest + data, most)
+        self.rest = self.machine.unconsumed_tail
+        return out
+
+    @property
+    def needs_input(self) -> bool:
+        return not self.rest
+
+    @property
+    def eof(self) -> bool:
+        return self.machine.eof
+
+    @property
+    def unused_data(self) -> bytes:
+        return self.machine.unused_data
+
+
+def _machine(head: bytes) -> _Zlib | bz2.BZ2Decompressor | lzma.LZMADecompressor | None:
+    """Decompressor of gzip, zlib, bz2 or xz data, told by its first bytes."""
+    if head[:2] == b"\x1f\x8b" or head[:1] == b"\x78" and len(head) > 2 and int.from_bytes(head[:2]) % 31 == 0:
+        return _Zlib()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if head[:6] == b"\xfd7zXZ\x00" else None
+
+
+def _members(chunks: Iterator[bytes], left: list[bytes] | None = None) -> Iterator[bytes]:
+    """What all members of compressed data give, in pieces; up to the first error or what is no member: ``left`` gets that."""
+    data = b""
+    while True:
+        while len(data) < 6 and (more := next(chunks, None)) is not None:
+            data += more
+        if (machine := _machine(data)) is None:
+            # Members of xz data may be padded.
+            if data and not data.strip(b"\0"):
+                data = b""
+                continue
+            if data[:1] == b"\0" and _machine(data.lstrip(b"\0")):
+                data = data.lstrip(b"\0")
+                continue
+            if left is not None:
+                left.append(data)
+            return
+        while not machine.eof:
+            if not data and machine.needs_input and (data := next(chunks, None)) is None:
+                return
+            try:
+                out = machine.decompress(data, BLOCK)
+            except (zlib.error, OSError, lzma.LZMAError, ValueError, EOFError):
+                return
+            data = b""
+            if out:
+                yield out
+        data = machine.unused_data
+
+
+def _used(data: bytes) -> int:
+    """Bytes that the members of compressed data take."""
+    left: list[bytes] = []
+    for _ in _members(iter([data]), left):
+        pass
+    return len(data) - sum(map(len, left)) or len(data)
+
+
+def _inflated(data: bytes) -> Iterator[bytes] | None:
+    """Pieces of what compressed data holds, archives in archives opened until none is left; None for other data."""
+    seen: set[bytes] = set()
+    stream, head, opened = iter(()), data, False
+    while _machine(head):
+        # An archive that holds itself ends here.
+        if (key := hashlib.sha256(head).digest()) in seen:
+            return iter(())
+        seen.add(key)
+        inner = _members(itertools.chain([head], stream))
+        parts, size = [], 0
+        while size < BLOCK and (piece := next(inner, None)) is not None:
+            parts.append(piece)
+            size += len(piece)
+        if not parts:
+            break
+        # A small archive is held as a whole, so that many layers do not call each other.
+        stream, head, opened = inner if size >= BLOCK else iter(()), b"".join(parts), True
+    return itertools.chain([head], stream) if opened else None
+
+
+def _texts(pieces: Iterator[bytes]) -> Iterator[str]:
+    """Readable text of UTF-8 pieces in overlapping blocks, up to the first invalid byte."""
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    held, new = "", 0
+    for piece in pieces:
+        try:
+            text = decoder.decode(piece)
+        except UnicodeDecodeError:
+            return
+        held, new = held + text, new + len(text)
+        while len(held) >= BLOCK:
+            if _readable(held[:BLOCK]):
+                yield held[:BLOCK]
+            held, new = held[BLOCK - OVERLAP :], len(held) - BLOCK
+    if new and _readable(held):
+        yield held
+
+
+def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Places of the lines of wrapped base64, as lists of (start, end).
+
+    Lines of one width belong together, with the shorter one after them, and with the one before, which may start
+    amid a line. As words of the text around look like base64 too, each choice is given.
+    """
+    for m in _WRAPPED.finditer(text):
+        lines = [(x.start(), x.end()) for x in _LINE.finditer(text, m.start(), m.end())]
+        given, at = set(), 0
+        while at < len(lines):
+            width, to = lines[at][1] - lines[at][0], at + 1
+            while to < len(lines) and lines[to][1] - lines[to][0] == width:
+                to += 1
+            if width >= 16:
+                for a, b in itertools.product((at, max(0, at - 1)), (to, min(len(lines), to + 1))):
+                    if b - a > 1 and (a, b) not in given:
+                        given.add((a, b))
+                        yield lines[a:b]
+            at = to
+
+
+def _base64(body: str) -> bytes | None:
     try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 2 and int.from_bytes(data[:2]) % 31 == 0:
-            machine = zlib.decompressobj(47)
-            out = machine.decompress(data, limit)
-            return out if machine.eof else None
-        if data[:3] == b"BZh":
-            machine = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            machine = lzma.LZMADecompressor()
-        else:
-            return None
-        out = machine.decompress(data, limit)
-        return out if machine.eof else None
-    except (zlib.error, OSError, lzma.LZMAError, ValueError, EOFError):
+        return base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
+    except (binascii.Error, ValueError):
         return None
 
 
 def _tokens(layer: Layer) -> Iterator[Layer]:
-    """Layers inside base64 tokens, compressed or plain."""
+    """Layers inside base64 tokens, compressed or plain, also of those wrapped into lines."""
     for m in _BASE64.finditer(layer.text):
-        token = m[0]
-        body = token.rstrip("=")
+        body = m[0].rstrip("=")
         if _PLAIN_WORD.fullmatch(body) and len(body) < 24 or len(body) % 4 == 1:
             continue
-        try:
-            data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        if (plain := _inflated(data)) is not None:
-            if got := _characters(plain):
-                a, b = layer.origin(m.start(), m.end())
-                yield Layer(got[0], [a] * len(got[0]), [b] * len(got[0]))
-        elif got := _characters(data):
-            text, places = got
-            starts, ends = [], []
-            for i in range(len(text)):
-                a = m.start() + places[i] * 4 // 3
-                b = m.end() if i == len(text) - 1 else m.start() + -(-places[i + 1] * 4 // 3)
-                a, b = layer.origin(a, b)
-                starts.append(a)
-                ends.append(b)
-            yield Layer(text, starts, ends)
+        if data := _base64(body):
+            yield from _opened(layer, data, range(m.start(), m.end()), m.end())
+    if "\n" in layer.text:
+        for lines in _wrapped(layer.text):
+            body = "".join(layer.text[a:b] for a, b in lines)
+            body = body[: len(body) - (len(body) % 4 == 1)]
+            if data := _base64(body):
+                # Words after compressed data are no part of it.
+                used = _used(data) if _machine(data) else len(data)
+                places = [i for a, b in lines for i in range(a, b)]
+                places = places[: -(-used * 4 // 3)] if used < len(data) else places
+                end = places[-1] + 1
+                while layer.text[end : end + 1] == "=" and end < places[-1] + 3:
+                    end += 1
+                yield from _opened(layer, data[:used], places, end)
+
+
+def _opened(layer: Layer, data: bytes, at: range | list[int], end: int) -> Iterator[Layer]:
+    """Layers of decoded base64, whose characters are ``at`` these places of the layer; padding ends at ``end``."""
+    if (pieces := _inflated(data)) is not None:
+        a, b = layer.origin(at[0], end)
+        for text in _texts(pieces):
+            yield Layer(text, _Same(a, len(text)), _Same(b, len(text)))
+    if got := _characters(data):
+        text, places = got
+        if isinstance(layer.starts, _Same):
+            yield Layer(text, _Same(layer.starts.value, len(text)), _Same(layer.ends.value, len(text)))
+            return
+        starts, ends = [], []
+        for i in range(len(text)):
+            a = at[places[i] * 4 // 3]
+            b = end if i == len(text) - 1 else at[-(-places[i + 1] * 4 // 3) - 1] + 1
+            a, b = layer.origin(a, b)
+            starts.append(a)
+            ends.append(b)
+        yield Layer(text, starts, ends)
 
 
 def all_spans(text: str, base: list[Span] | None = None) -> list[Span]:
     """Base spans and those of every decoded layer, as spans of the given text, each once.
 
     A worklist of layers: each is scanned, then its URL escapes, Unicode escapes and base64 tokens
-    (compressed ones inflated) give further layers. A layer seen before, at the same origin, is not
+    (compressed ones inflated, in overlapping blocks of ``BLOCK`` characters) give further layers. A layer seen before, at the same origin, is not
     entered again, so the list runs dry: every step makes the text shorter or inflates it once.
     """
     found = set(base_spans(text) if base is None else base)
     seen: set[bytes] = set()
-    work = [Layer(text, range(len(text)), range(1, len(text) + 1))]
+    # Layers are drawn as they are needed: of a long inflated text one block at a time is held.
+    work: list[Iterator[Layer]] = [iter([Layer(text, range(len(text)), range(1, len(text) + 1))])]
     while work:
-        layer = work.pop()
+        if (layer := next(work[-1], None)) is None:
+            work.pop()
+            continue
         key = hashlib.sha256(layer.text.encode("utf-8", "surrogatepass")).digest()
         key += b"%d,%d" % (layer.starts[0], layer.ends[-1]) if layer.text else b""
         if key in seen:
@@ -179,10 +355,10 @@ def all_spans(text: str, base: list[Span] | None = None) -> list[Span]:
         if len(seen) > 1:
             found |= {(*layer.origin(start, end), kind) for start, end, kind in base_spans(layer.text)}
         if "%" in layer.text and (new := _replaced(layer, _URL, _url)):
-            work.append(new)
+            work.append(iter([new]))
         if ("\\" in layer.text or "&#" in layer.text) and (new := _replaced(layer, _UNICODE, _escape)):
-            work.append(new)
-        work.extend(_tokens(layer))
+            work.append(iter([new]))
+        work.append(_tokens(layer))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 

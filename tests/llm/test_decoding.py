@@ -56,6 +56,64 @@ def test_nested_layers_map_back(outer, inner):
     assert (start, start + len(token)) in {(a, b) for a, b, _ in found}
 
 
+COMPRESS = {"gzip": gzip.compress, "zlib": zlib.compress, "bz2": bz2.compress, "xz": lzma.compress}
+
+
+def assigned(token, before="some é words ", after=" and more"):
+    """Whether the whole token is found to hide an assignment."""
+    return (len(before), len(before) + len(token), "assign") in all_spans(before + token + after)
+
+
+@pytest.mark.parametrize("mark", ["\u00a0", "\u3000", "\ufeff", "\u200b", "\u00ad", "\x00"])
+def test_layers_with_unprintable_characters(mark):
+    text = f"{mark}note {SECRET}"
+    assert [k for *_, k in all_spans(base64.b64encode(text.encode()).decode())] == ["assign"]
+    assert assigned(base64.b64encode(gzip.compress(text.encode())).decode())
+    assert not all_spans(base64.b64encode(b"\1\2\3\4" * 20 + SECRET.encode()).decode())
+
+
+@pytest.mark.parametrize("outer", COMPRESS)
+@pytest.mark.parametrize("inner", COMPRESS)
+def test_archives_in_archives_and_joined_members(outer, inner):
+    data = SECRET.encode()
+    assert assigned(base64.b64encode(COMPRESS[outer](COMPRESS[inner](data))).decode())
+    assert assigned(base64.b64encode(COMPRESS[outer](b"first ") + COMPRESS[inner](b"and " + data)).decode())
+    deep = data
+    for _ in range(300):
+        deep = COMPRESS[inner](deep)
+    assert assigned(base64.b64encode(deep).decode())
+
+
+@pytest.mark.parametrize("line_end", ["\n", "\r\n", "\n  "])
+@pytest.mark.parametrize("before,after", [("", ""), ("key: ", " end"), ("a line\n", "\nAnd more words"), ("internationalisation\n", "\nword")])
+def test_wrapped_base64(line_end, before, after):
+    noise = "".join(hashlib.sha256(bytes([i])).hexdigest() + " " for i in range(20)).replace("a", "Z")
+    for data in (f"{noise}{SECRET} {noise}".encode(), SECRET.encode() * 4):
+        for body in (gzip.compress(data), data):
+            plain = base64.b64encode(body).decode()
+            token = line_end.join(plain[i : i + 76] for i in range(0, len(plain), 76))
+            found = [s for s in all_spans(before + token + after) if s[2] == "assign"]
+            assert found and all(len(before) <= a < b <= len(before + token) for a, b, _ in found if body is not data)
+    inner = "x" * 100 + f" {SECRET} " + "y" * 100
+    plain = base64.b64encode(inner.encode()).decode()
+    token = line_end.join(plain[i : i + 76] for i in range(0, len(plain), 76))
+    place = lambda i: i + i // 76 * len(line_end)
+    want = (len(before) + place(101 * 4 // 3), len(before) + place(-(-(101 + len(SECRET)) * 4 // 3) - 1) + 1, "assign")
+    assert want in all_spans(before + token + after)
+
+
+def test_large_expansion_is_scanned_in_blocks(monkeypatch):
+    from flakeform.llm import decoding
+
+    monkeypatch.setattr(decoding, "BLOCK", 1 << 16)
+    monkeypatch.setattr(decoding, "OVERLAP", 1 << 10)
+    for place in (0, 65_530, 3_000_000):
+        data = b"." * place + SECRET.encode() + b"\n" * (6_000_000 - place)
+        for outer in COMPRESS:
+            assert assigned(base64.b64encode(COMPRESS[outer](data)).decode())
+            assert assigned(base64.b64encode(COMPRESS[outer](gzip.compress(data))).decode())
+
+
 def test_spans_are_exact_inside_a_layer():
     inner = f"xx {SECRET} yy"
     token = LAYERS["url"](inner)
