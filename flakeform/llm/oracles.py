@@ -99,4 +99,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLES: dict[str, str] = {"op7_substring": OP7, "op9_jaccard": OP9, "op10_rules": OP10}
+OP12 = r"""
+WITH normalised AS (
+    SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
+)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+       row_number() OVER (PARTITION BY norm ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(norm) AS text_sha256
+FROM normalised
+"""
+
+ORACLES: dict[str, str] = {"op7_substring": OP7, "op9_jaccard": OP9, "op10_rules": OP10, "op12_exact": OP12}

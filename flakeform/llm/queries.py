@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flakeform.llm import cascade, decoding, fingerprint, jaccard, kneser_ney, language, maxent, mixing, packing, substring
+from flakeform.llm import (
+    cascade,
+    decoding,
+    exact,
+    fingerprint,
+    jaccard,
+    kneser_ney,
+    language,
+    maxent,
+    mixing,
+    packing,
+    substring,
+)
 from flakeform.llm.common import crc_fold, documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +98,11 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *cascade.MEASURES, failed.alias("base_failed"), "kept")
 
 
+def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = exact.duplicate_groups(documents(spark, sf_dir))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES: dict[str, Query] = {
     name: function for name, function in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
 }

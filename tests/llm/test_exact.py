@@ -1,0 +1,80 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+from brute import edge_rows, edges, empty, sources
+from pyspark.sql import functions as F
+
+from flakeform.llm import exact
+
+
+def normalised(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def plain(rows):
+    """Rows ``(doc_id, keep_id, group_size, kept, sha)`` of ``(doc_id, text)`` by brute force."""
+    groups = defaultdict(list)
+    for doc, text in rows:
+        groups[normalised(text)].append(doc)
+    out = []
+    for text, ids in groups.items():
+        ids.sort(key=lambda d: (d is None, d or 0))
+        sha = hashlib.sha256(text.encode()).hexdigest()
+        out += [(d, ids[0], len(ids), place == 0, sha) for place, d in enumerate(ids)]
+    return out
+
+
+def ordered(rows):
+    return sorted(rows, key=str)
+
+
+def found(docs):
+    return [tuple(r) for r in exact.duplicate_groups(docs).collect()]
+
+
+@pytest.mark.parametrize("make", [edges, sources, empty])
+def test_equals_brute_force(spark, make):
+    docs = make(spark)
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    assert ordered(found(docs)) == ordered(plain(rows))
+
+
+@pytest.mark.parametrize("key", ["id", "null", "one"])
+def test_a_hot_text_is_dealt_over_slots(spark, key, monkeypatch):
+    monkeypatch.setattr(exact, "SAMPLE_PER_RANGE", 200)
+    ids = {"id": F.col("id"), "null": F.lit(None).cast("long"), "one": F.lit(7).cast("long")}[key]
+    hot = F.when(F.col("id") % 3 == 0, F.lit("same  text\there")).otherwise(F.concat(F.lit("t"), F.col("id") % 800))
+    docs = spark.range(0, 3000, numPartitions=6).select(ids.alias("doc_id"), hot.alias("text"))
+    assert exact._hot_groups(docs.withColumnRenamed("text", "_text"), 8).count() >= 1
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert ordered(found(docs)) == ordered(plain(rows))
+
+
+def test_clashing_columns_are_carried(spark):
+    clashing = ("keep_id", "row", "_norm", "kept", "_slot", "text_sha256")
+    docs = edges(spark).withColumns({c: F.lit(5) for c in clashing})
+    kept = exact.drop_duplicates(docs)
+    assert kept.columns == docs.columns and {r["_slot"] for r in kept.collect()} == {5}
+    texts = [normalised(r["text"]) for r in kept.collect()]
+    assert len(texts) == len(set(texts)) == len({normalised(t) for _, t, *_ in edge_rows()})
+    whole = exact.duplicate_groups(docs, texts=True).collect()
+    assert all(hashlib.sha256(r["text"].encode()).hexdigest() == r["text_sha256"] for r in whole)
+
+
+def test_texts_are_shuffled_once(spark):
+    plan = []
+    original = exact.stage
+
+    def staged(df, label):
+        plan.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return original(df, label)
+
+    exact.stage, before = staged, exact.stage
+    try:
+        exact.duplicate_groups(sources(spark))
+    finally:
+        exact.stage = before
+    (text,) = [p for label, p in plan if label == "content-sorted"]
+    assert len(re.findall(r"Exchange (?:hash|range|Single)", text)) == 1 and "rangepartitioning" in text
