@@ -17,10 +17,13 @@ from flakeform.llm import (
     language,
     maxent,
     mixing,
+    negatives,
     packing,
     substring,
+    whitening,
 )
 from flakeform.llm.common import crc_fold, documents
+from flakeform.llm.vectors import embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,11 +101,20 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *cascade.MEASURES, failed.alias("base_failed"), "kept")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(embeddings(spark, sf_dir))
+
+
 def op12_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.duplicate_groups(documents(spark, sf_dir))
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(embeddings(spark, sf_dir).withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     name: function for name, function in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()
 }
