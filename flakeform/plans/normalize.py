@@ -20,26 +20,42 @@ HASH = "hash"
 SEQUENCE = "sequence"
 
 
-def natural_dim(flat: DataFrame, spec: NaturalDim) -> DataFrame:
-    """One row per key, taken from its most recent event; the status comes from the same row.
+def natural_rows(flat: DataFrame, spec: NaturalDim) -> DataFrame:
+    """One row per key, taken from its most recent event, with the columns that order the events.
 
-    That one row already holds the latest event time, so status needs neither a second
-    aggregation nor a join: the whole dimension costs one shuffle. Rows without any value leave
-    before the sort, so that they neither cost anything nor stand in for a row that has values.
+    Rows without any value leave before the sort, so that they neither cost anything nor stand in for a row that has
+    values.
     """
     names = [field.name for field in spec.fields]
-    helpers = [name for name in (spec.recency, spec.tie_breaker) if name not in names]
-    others = [spec.tie_breaker, *[name for name in names if name != spec.primary_key]]
-    rows = project(flat, spec.fields, *helpers)
-    dim = first_per_key(
+    rows = project(flat, spec.fields, *[name for name in (spec.recency, spec.tie_breaker) if name not in names])
+    return first_per_key(
         drop_empty_rows(rows, names) if spec.drop_empty else rows,
         spec.primary_key,
-        latest_first(spec.recency, dict.fromkeys(others)),
+        latest_first(spec.recency, tie_breakers(spec)),
     )
-    if spec.status is not None:
-        status = keyed_status(F.col(spec.primary_key), F.col(spec.recency), spec.status.cutoff)
-        dim = dim.withColumn(spec.status.column, status)
-    return dim.drop(*helpers)
+
+
+def tie_breakers(spec: NaturalDim) -> list[str]:
+    """Columns that decide, ascending, between rows of a key that are equally recent."""
+    return list(dict.fromkeys([spec.tie_breaker, *[f.name for f in spec.fields if f.name != spec.primary_key]]))
+
+
+def described(rows: DataFrame, spec: NaturalDim) -> DataFrame:
+    """The dimension made of its :func:`natural_rows`: their fields, and the status where there is one."""
+    names = [field.name for field in spec.fields]
+    if spec.status is None:
+        return rows.select(*names)
+    status = keyed_status(F.col(spec.primary_key), F.col(spec.recency), spec.status.cutoff)
+    return rows.select(*names, status.alias(spec.status.column))
+
+
+def natural_dim(flat: DataFrame, spec: NaturalDim) -> DataFrame:
+    """One row per key, taken from its most recent event; the status comes from the same row.
+
+    That one row already holds the latest event time, so status needs neither a second
+    aggregation nor a join: the whole dimension costs one shuffle.
+    """
+    return described(natural_rows(flat, spec), spec)
 
 
 def surrogate_rows(flat: DataFrame, spec: SurrogateDim) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from workload.queries import CUTOFF, DIM_QUERIES, EVENT_CUTOFF
+from collections.abc import Callable
+
+from workload.queries import CUTOFF, DIM_QUERIES, EVENT_CUTOFF, SECOND_BATCH
 from workload.visits import visits_sql
 
 ID_OF = {
@@ -127,22 +129,54 @@ def _distinct(table: str) -> str:
     return f"SELECT DISTINCT {', '.join(NATURAL[table])} FROM visits{needed}"
 
 
-def _numbered(table: str, threshold: int = 3) -> str:
-    """Readable surrogate ids; sequence numbers by one global sort."""
-    keys = NATURAL[table]
-    ordering = ", ".join(f"{key} ASC NULLS FIRST" for key in keys)
-    seq = f"CAST(row_number() OVER (ORDER BY {ordering}) - 1 AS VARCHAR)"
+def _in_order(table: str) -> str:
+    return ", ".join(f"{key} ASC NULLS FIRST" for key in NATURAL[table])
+
+
+def _readable(table: str, number: str, threshold: int = 3) -> str:
+    """Readable surrogate id with a sequence number."""
+    seq = f"CAST({number} AS VARCHAR)"
     if table == "DimProvider":
         code = _reduced(_initials("doctor_department"), threshold)
-        surrogate = f"({code}) || doctor_title || lpad({seq}, 6, '0')"
-    elif table == "DimLocation":
-        surrogate = f"({_reduced(_initials('clinic_name'), 4)}) || CAST(room_number AS VARCHAR)"
-    elif table == "DimTreatment":
-        surrogate = f"treatment_code || {seq}"
-    else:
-        code, desc = keys
-        surrogate = f"{code} || CAST(coalesce(length({desc}), 0) AS VARCHAR) || {seq}"
-    return f"SELECT {surrogate} AS {ID_OF[table]}, {', '.join(keys)} FROM ({_distinct(table)})"
+        return f"({code}) || doctor_title || lpad({seq}, 6, '0')"
+    if table == "DimLocation":
+        return f"({_reduced(_initials('clinic_name'), 4)}) || CAST(room_number AS VARCHAR)"
+    if table == "DimTreatment":
+        return f"treatment_code || {seq}"
+    code, desc = NATURAL[table]
+    return f"{code} || CAST(coalesce(length({desc}), 0) AS VARCHAR) || {seq}"
+
+
+def _numbered(table: str, threshold: int = 3) -> str:
+    """Readable surrogate ids; sequence numbers by one global sort."""
+    surrogate = _readable(table, f"(row_number() OVER (ORDER BY {_in_order(table)}) - 1)", threshold)
+    return f"SELECT {surrogate} AS {ID_OF[table]}, {', '.join(NATURAL[table])} FROM ({_distinct(table)})"
+
+
+def _numbered_in_batches(table: str) -> str:
+    """Keys of the first batch in order, then the second batch's new ones in order."""
+    keys = ", ".join(NATURAL[table])
+    needed = f" AND {REQUIRED[table]} IS NOT NULL" if table in REQUIRED else ""
+    early = f"SELECT DISTINCT {keys} FROM visits WHERE billing_date < DATE '{SECOND_BATCH}'{needed}"
+    late = f"SELECT DISTINCT {keys} FROM visits WHERE NOT billing_date < DATE '{SECOND_BATCH}'{needed} EXCEPT {early}"
+    place = f"row_number() OVER (ORDER BY {_in_order(table)}) - 1"
+    both = (
+        f"SELECT {keys}, {place} AS number, TRUE AS known FROM ({early}) UNION ALL"
+        f" SELECT {keys}, {place} + (SELECT count(*) FROM ({early})), FALSE FROM ({late})"
+    )
+    return f"SELECT {_readable(table, 'number')} AS {ID_OF[table]}, known, {keys} FROM ({both})"
+
+
+def _batch_keys() -> str:
+    rows = []
+    for table in [table for table in NATURAL if table != "DimLocation"]:
+        parts = [*NATURAL[table], *["CAST(NULL AS VARCHAR)"] * (3 - len(NATURAL[table]))]
+        columns = ", ".join(f"{part} AS part{i}" for i, part in enumerate(parts))
+        rows.append(
+            f"SELECT '{table}' AS \"table\", {ID_OF[table]} AS id, CASE WHEN known THEN {ID_OF[table]} END AS first_id,"
+            f" {columns} FROM ({_numbered_in_batches(table)})"
+        )
+    return _with_visits(" UNION ALL ".join(rows))
 
 
 def _hash(table: str) -> str:
@@ -174,11 +208,11 @@ def _fact_hashed(null_safe: bool = False) -> str:
     return _fact(ids, "visits v")
 
 
-def _fact_joined(equal: str) -> str:
+def _fact_joined(equal: str, numbered: Callable[[str], str] = _numbered) -> str:
     joins, ids = ["visits v"], {}
     for table, keys in NATURAL.items():
         on = " AND ".join(f"v.{key} {equal} {table}.{key}" for key in keys)
-        joins.append(f"LEFT JOIN ({_numbered(table)}) {table} ON {on}")
+        joins.append(f"LEFT JOIN ({numbered(table)}) {table} ON {on}")
         ids[ID_OF[table]] = f"{table}.{ID_OF[table]}"
     return _fact(ids, " ".join(joins))
 
@@ -475,6 +509,11 @@ def oracles() -> dict[str, str]:
         "csv_to_fact": _with_visits(_fact_hashed()),
         "load_and_read_back": _loaded(),
         "export_and_read_back": _loaded(),
+        "batch_keys": _batch_keys(),
+        "batch_fact": _with_visits(
+            _fact_joined("=", lambda table: _numbered(table) if table == "DimLocation" else _numbered_in_batches(table))
+        ),
+        "batch_load_and_read_back": _loaded(),
         "export_billing": _with_visits(
             "SELECT billing_id, insurance_id, CAST(billing_total_charge AS VARCHAR) AS billing_total_charge,"
             " CAST(billing_amount_paid AS VARCHAR) AS billing_amount_paid,"

@@ -8,10 +8,12 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flakeform.functions import initials, length_bucket, reduced_code, text_length
+from flakeform.functions import initials, length_bucket, padded_sequence, reduced_code, text_length
 from flakeform.operators import clean, constraints, profile, status
 from flakeform.operators.lookup import lookup
+from flakeform.operators.registry import KeyRegistry
 from flakeform.operators.sequence import dense_sequence
+from flakeform.plans.batches import Batches
 from flakeform.plans.healthcare import healthcare
 from flakeform.plans.job import migrate, normalize_csv
 from flakeform.plans.normalize import (
@@ -33,6 +35,8 @@ from workload.visits import table, visits
 # The driver's dates run from 1995 to 2001, so this cutoff splits them.
 CUTOFF = "2000-12-31"
 EVENT_CUTOFF = "2024-01-10"
+# Visits before this day are the first of two batches.
+SECOND_BATCH = "1998-01-01"
 OWN_SIZES = (200, 2000, 20000)
 STAR = healthcare(status_cutoff=CUTOFF)
 
@@ -327,6 +331,46 @@ def _roundtrip(keys: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select("visit_id", "visit_type", *[name for columns in wanted.values() for name in columns])
 
 
+def _two_batches(flat: DataFrame) -> list[DataFrame]:
+    early = F.col("billing_date") < F.lit(SECOND_BATCH).cast("date")
+    return [flat.filter(early), flat.filter(~early)]
+
+
+def batch_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered ids of every surrogate dimension after two batches, and the id after the first where the key was known."""
+    specs = [spec for spec in STAR.surrogate_dims if spec.key.numbered]
+    longest = max(len(spec.natural_key) for spec in specs)
+    flat = stage(visits(spark, sf_dir, ["billing_date", *[name for spec in specs for name in spec.natural_key]]), "visits")
+    found = []
+    for spec in specs:
+        registry = KeyRegistry(spark, new_folder(spark, spec.name), spec.natural_key)
+        one, two = [registry.register(clean.require(rows, spec.required)) for rows in _two_batches(flat)]
+        surrogate = F.concat(spec.key.prefix(), padded_sequence(F.col("number"), spec.key.pad))
+        parts = [F.col(name).alias(f"part{i}") for i, name in enumerate(spec.natural_key)]
+        parts += [F.lit(None).cast("string").alias(f"part{i}") for i in range(len(spec.natural_key), longest)]
+        before = one.select(surrogate.alias("first_id"), "number")
+        both = two.select(surrogate.alias("id"), "number", *parts).join(before, "number", "left")
+        found.append(both.select(F.lit(spec.name).alias("table"), "id", "first_id", *[f"part{i}" for i in range(longest)]))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _loaded_in_batches(spark: SparkSession, sf_dir: str, keys: str) -> Batches:
+    batches = Batches(spark, STAR, new_folder(spark, "batches"), keys)
+    for number, rows in enumerate(_two_batches(stage(visits(spark, sf_dir), "visits")), 1):
+        batches.load(rows, str(number))
+    return batches
+
+
+def batch_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of two batches, with ids numbered batch by batch."""
+    return _loaded_in_batches(spark, sf_dir, SEQUENCE).table(STAR.fact.name).drop("batch")
+
+
+def batch_load_and_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables loaded in two batches: rows and digest of the contents per table, as after one load of everything."""
+    return _digests(_loaded_in_batches(spark, sf_dir, HASH).tables())
+
+
 DIM_QUERIES = {
     "dim_patient": "DimPatient",
     "dim_insurance": "DimInsurance",
@@ -382,6 +426,9 @@ QUERIES: dict[str, Query] = {
     "csv_to_fact": csv_to_fact,
     "load_and_read_back": load_and_read_back,
     "export_and_read_back": export_and_read_back,
+    "batch_keys": batch_keys,
+    "batch_fact": batch_fact,
+    "batch_load_and_read_back": batch_load_and_read_back,
     "export_billing": export_billing,
     "preview": preview_customers,
     "normalize_roundtrip": partial(_roundtrip, HASH),
