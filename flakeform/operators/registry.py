@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flakeform.functions.keys import natural_hash
 from flakeform.operators.dedup import distinct_rows
 from flakeform.operators.sequence import dense_sequence
-from flakeform.sources.stored import BUCKETS, StoredTable
+from flakeform.sources.stored import StoredTable
 
 KEY = "_key"
 
@@ -24,7 +24,7 @@ class KeyRegistry:
     batch a second time changes nothing, so a failed job can simply run again.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, keys: Sequence[str], buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, folder: str, keys: Sequence[str], buckets: int | None = None):
         self.keys = list(keys)
         self.table = StoredTable(spark, folder, KEY, buckets)
 

@@ -363,7 +363,7 @@ def _loaded_in_batches(spark: SparkSession, sf_dir: str, keys: str) -> Batches:
 
 def batch_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts of two batches, with ids numbered batch by batch."""
-    return _loaded_in_batches(spark, sf_dir, SEQUENCE).table(STAR.fact.name).drop("batch")
+    return _loaded_in_batches(spark, sf_dir, SEQUENCE).table(STAR.fact.name)
 
 
 def batch_load_and_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
