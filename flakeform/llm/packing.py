@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -22,21 +24,25 @@ OPEN_BINS = 512
 PIECES_PER_PACKER = 32768
 #: Levels of packers: bins that are still open at the end of one level are items of the next.
 LEVELS = 2
-#: Encoded words that a Python worker keeps.
-CACHED_WORDS = 450_000
+#: Encoded words that a Python worker keeps, in two generations.
+CACHED_WORDS = 700_000
 #: Words that the tokenizer takes in one call; its results hold far more than the ids.
 ENCODED_AT_ONCE = 8192
+#: Words of letters that are encoded as one text.
+WORDS_IN_LINE = 64
 #: Rows of a batch whose texts are held at once.
 ROWS_AT_ONCE = 1000
 END = b"\0\0\0\0"
-_SIMPLE = re.compile(r"([a-zà-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+_SPECIAL = b"<|"
+#: A line with one word: its letters, the punctuation after them, and the rest, empty for most words. ``<|`` is no punctuation.
+_SIMPLE = re.compile(r"([a-zà-öø-ÿ]*)((?:(?!<\|)[!-&(-/:-@\[-`{-~])*)(.*)\n")
 
 
 class WordEncoder:
     """Token ids of whole texts, from ids of their words.
 
     The vocabulary's rules never join characters across white space, so a text's ids are its words'
-    ids in order. Most words are letters and then punctuation: their letters are encoded once in a batch
+    ids in order. Most words are letters and then punctuation: their letters are encoded many at a time
     without the general rules; every other word goes through the whole tokenizer.
     """
 
@@ -46,52 +52,87 @@ class WordEncoder:
         self.whole = Tokenizer.from_file(path)
         self.letters = Tokenizer.from_file(path)
         self.letters.normalizer = normalizers.Sequence([])
-        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        parts = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(parts)
+        suffix = json.loads(self.whole.to_str())["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.whole.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for token, i in self.whole.get_vocab().items() if token.endswith(suffix)]] = True
         self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {"": b""}
+        self.earlier: dict[bytes, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _encode(self, tokenizer, pieces: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for at in range(0, len(pieces), ENCODED_AT_ONCE):
-            got = tokenizer.encode_batch(pieces[at : at + ENCODED_AT_ONCE], add_special_tokens=False)
-            out += [np.array(x.ids, "<u4").tobytes() for x in got]
+            got = tokenizer.encode_batch_fast(pieces[at : at + ENCODED_AT_ONCE], add_special_tokens=False)
+            out += [pack_ids(f"<{len(x)}I", *x.ids) for x in got]
+        return out
+
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters: many make one text, whose ids are parted where a token ends a word."""
+        out: list[bytes] = []
+        for at in range(0, len(words), ENCODED_AT_ONCE):
+            some = words[at : at + ENCODED_AT_ONCE]
+            lines = [some[k : k + WORDS_IN_LINE] for k in range(0, len(some), WORDS_IN_LINE)]
+            got = self.letters.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
+            for line, found in zip(lines, got, strict=True):
+                ids = np.array(found.ids, "<u4")
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) != len(line):
+                    out += self._encode(self.letters, line)
+                    continue
+                data, places = ids.tobytes(), [0, *(4 * ends).tolist()]
+                out += [data[i:j] for i, j in zip(places[:-1], places[1:], strict=True)]
         return out
 
     def learn(self, words: set[bytes]) -> None:
-        """Encode words that are not known yet."""
-        if len(self.words) + len(words) > CACHED_WORDS:
-            self.words, self.pieces = {}, {"": b""}
-        new = [word for word in words if word not in self.words]
-        simple, other = [], []
-        for word in new:
-            text = word.decode()
-            match = _SIMPLE.fullmatch(text.lower())
-            if match and "<|" not in text:
-                simple.append((word, match[1], match[2]))
-            else:
-                other.append((word, text))
-        letters = list({a for _, a, _ in simple} - self.pieces.keys())
-        self.pieces.update(zip(letters, self._encode(self.letters, letters), strict=True))
-        marks = list({b for _, _, b in simple} - self.pieces.keys())
-        self.pieces.update(zip(marks, self._encode(self.whole, marks), strict=True))
-        for word, a, b in simple:
-            self.words[word] = self.pieces[a] + self.pieces[b]
-        ids = self._encode(self.whole, [text for _, text in other])
-        self.words.update(zip((word for word, _ in other), ids, strict=True))
+        """Bring all these words into ``words``, encoding those that are not known yet.
+
+        Words are kept in two generations. When the later one is full the earlier one goes, so that a word is dropped
+        only if it was not used since the turn before; rare words go, and frequent ones are encoded once.
+        """
+        if len(self.words) + len(words) > CACHED_WORDS // 2:
+            self.words, self.earlier = {}, self.words
+        known, earlier = self.words, self.earlier
+        missing = [word for word in words if word not in known]
+        known.update([(word, earlier[word]) for word in missing if word in earlier])
+        new = [word for word in missing if word not in known]
+        rows = _SIMPLE.findall(b"\n".join([*new, b""]).decode())
+        stems = list({stem for stem, _, rest in rows if not rest} - {""})
+        letters = dict(zip(stems, self._encode_letters(stems), strict=True))
+        letters[""] = b""
+        ends = {mark for _, mark, rest in rows if not rest}
+        if len(self.marks) + len(ends) > CACHED_WORDS // 8:
+            self.marks = {"": b""}
+        marks = list(ends - self.marks.keys())
+        self.marks.update(zip(marks, self._encode(self.whole, marks), strict=True))
+        kept = self.marks
+        known.update([(word, letters[stem] + kept[mark]) for word, (stem, mark, rest) in zip(new, rows, strict=True) if not rest])
+        other = [word for word, (_, _, rest) in zip(new, rows, strict=True) if rest]
+        known.update(zip(other, self._encode(self.whole, [word.decode() for word in other]), strict=True))
 
     def encode(self, batch: list[bytes]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, with the end id."""
+        """Little-endian unsigned 32-bit ids of each text, with the end id.
+
+        Words are lower-cased before they are looked up, as the tokenizer does, but for those that may hold one of its
+        special tokens: these have one spelling only.
+        """
         at = 0
         while at < len(batch):
             words, size, to = [], 0, at
             while to < len(batch) and (size < 2 << 20 or to == at):
-                words.append(batch[to].lower().split())
-                size += len(batch[to])
+                text = batch[to]
+                if _SPECIAL in text:
+                    words.append([w if _SPECIAL in w else w.lower() for w in text.split()])
+                else:
+                    words.append(text.lower().split())
+                size += len(text)
                 to += 1
             self.learn(set().union(*words))
-            known = self.words
+            ids = self.words.__getitem__
             for x in words:
-                yield b"".join([known[w] for w in x]) + END
+                yield b"".join(map(ids, x)) + END
             at = to
 
 

@@ -19,7 +19,7 @@ def ids(text):
     return [*WHOLE.encode(text or "", add_special_tokens=False).ids, 0]
 
 
-ODD = ["", " ", "don't we'll I'm 's", "ÉCOLE Straße İstanbul ΣΑΣ", "a b c\x1cd\x85e", "é ́x", "漢字 かな 🙂👍🏽", "<|endoftext|> x<|startoftext|>y <|x", "a,b...c!? (d) [e] #$%&*|<>", "x1y22 3.14", "tab\tnl\nvt\x0bff\fcr\r", "é" * 50, "AbC" * 200, "​ zero", "ﬁ ligature ² ½"]
+ODD = ["", " ", "don't we'll I'm 's", "ÉCOLE Straße İstanbul ΣΑΣ", "a b c\x1cd\x85e", "é ́x", "漢字 かな 🙂👍🏽", "<|endoftext|> x<|startoftext|>y <|x", "<|ENDOFTEXT|> <|EndOfText|> x a<|ENDOFTEXT|>b A<|endoftext|>B", "X<|StartOfText|><|startoftext|>Y <|END <| |> Plain", "a,b...c!? (d) [e] #$%&*|<>", "x1y22 3.14", "tab\tnl\nvt\x0bff\fcr\r", "é" * 50, "AbC" * 200, "​ zero", "ﬁ ligature ² ½"]
 
 
 def test_encoder_equals_the_tokenizer(spark):
@@ -29,6 +29,17 @@ def test_encoder_equals_the_tokenizer(spark):
         assert np.frombuffer(data, "<u4").tolist() == ids(text)
 
 
+def test_two_generations_of_words(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 40)
+    encoder = WordEncoder(tokenizer_path())
+    texts = [f"common words, stay here! rare{k} seldom-{k} é{k} abc{'x' * (k % 30)} {'yz' * (k % 20)}?" for k in range(300)]
+    for text in texts:
+        (data,) = encoder.encode([text.encode()])
+        assert np.frombuffer(data, "<u4").tolist() == ids(text)
+        assert len(encoder.words) <= 40 and len(encoder.earlier) <= 40
+    assert b"common" in encoder.words and b"rare3" not in encoder.words | encoder.earlier
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_encoder_on_any_text(text):
