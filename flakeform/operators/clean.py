@@ -13,18 +13,30 @@ from flakeform.functions.casts import lenient_cast
 from flakeform.plans.specs import Field
 
 
-def project(df: DataFrame, fields: Sequence[Field], *extra: str) -> DataFrame:
-    """Select the fields, with their casts, plus any extra columns as they are."""
-    chosen = [
+def field_columns(fields: Sequence[Field]) -> list[Column]:
+    """The fields with their casts."""
+    return [
         F.col(field.name) if field.cast is None else lenient_cast(field.name, field.cast).alias(field.name)
         for field in fields
     ]
-    return df.select(*chosen, *extra)
+
+
+def project(df: DataFrame, fields: Sequence[Field], *extra: str) -> DataFrame:
+    """Select the fields, with their casts, plus any extra columns as they are."""
+    return df.select(*field_columns(fields), *extra)
+
+
+def all_present(columns: Sequence[str]) -> Column:
+    return reduce(operator.and_, [F.col(name).isNotNull() for name in columns], F.lit(True))
+
+
+def any_present(columns: Sequence[str]) -> Column:
+    return reduce(operator.or_, [F.col(name).isNotNull() for name in columns], F.lit(False))
 
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keep rows in which every given column has a value."""
-    return df.filter(reduce(operator.and_, [F.col(name).isNotNull() for name in columns], F.lit(True)))
+    return df.filter(all_present(columns))
 
 
 def drop_empty_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -32,8 +44,7 @@ def drop_empty_rows(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
     NaN counts as a value here; ``dropna(how="all")`` would treat it as missing.
     """
-    names = df.columns if columns is None else columns
-    return df.filter(reduce(operator.or_, [F.col(name).isNotNull() for name in names]))
+    return df.filter(any_present(df.columns if columns is None else columns))
 
 
 def fill_default(df: DataFrame, column: str, default: str) -> DataFrame:

@@ -94,21 +94,19 @@ def overlong_columns(
 def overlong_samples(df: DataFrame, order_by: str, limit: int = OVERLONG, per_column: int = 5) -> DataFrame:
     """The first few offending values of every over-long column, in order of a row key.
 
-    Each column is scanned for itself and only its first few rows leave a partition, so long
+    One scan serves all columns: only over-long values become rows, and each task sends its first few per column, so long
     texts are neither sorted nor shuffled as a whole.
     """
-    samples = [
-        df.select(F.lit(name).alias("column"), F.col(order_by).alias("row_key"), F.col(name).alias("value"))
-        .filter(F.length("value") > limit)
-        .orderBy("row_key", "value")
-        .limit(per_column)
-        for name in text_columns(df)
+    names = text_columns(df)
+    found = [
+        F.when(F.length(name) > limit, F.struct(F.lit(name).alias("column"), F.col(name).alias("value"))) for name in names
     ]
-    if not samples:
-        nothing = df.select(F.lit("").alias("column"), F.col(order_by).alias("row_key"), F.lit("").alias("value"))
-        samples = [nothing.limit(0)]
+    if not names:
+        nothing = F.struct(F.lit("").alias("column"), F.lit("").alias("value"))
+        found = [F.when(F.lit(False), nothing)]
+    values = df.select(F.col(order_by).alias("row_key"), F.inline(F.array(*found))).filter(F.col("column").isNotNull())
     rank = F.row_number().over(Window.partitionBy("column").orderBy("row_key", "value"))
-    return reduce(DataFrame.unionByName, samples).withColumn("rank", rank)
+    return values.select("column", "row_key", "value").withColumn("rank", rank).filter(F.col("rank") <= per_column)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -206,9 +206,11 @@ def healthcare(
     status_cutoff: str = DEFAULT_CUTOFF,
     provider_threshold: int = PROVIDER_CODE_THRESHOLD,
     location_threshold: int = LOCATION_CODE_THRESHOLD,
+    unique_locations: bool = False,
 ) -> Snowflake:
+    """``unique_locations`` tells readable location ids apart that clinics with equal initials and room share."""
     provider_key = KeyRule(lambda: provider_prefix(provider_threshold), pad=PROVIDER_SEQUENCE_WIDTH)
-    location_key = KeyRule(lambda: location_prefix(location_threshold), numbered=False)
+    location_key = KeyRule(lambda: location_prefix(location_threshold), numbered=False, unique=unique_locations)
     dims = (
         _natural("patient", status=StatusRule("patient_status", status_cutoff), one_char_text=True),
         _natural("insurance", parent="patient"),

@@ -15,6 +15,7 @@ from flakeform.operators.lookup import BROADCAST_BYTES, lookup
 from flakeform.operators.sequence import dense_sequence
 from flakeform.operators.status import keyed_status
 from flakeform.plans.specs import NaturalDim, Snowflake, SurrogateDim
+from flakeform.sources.staging import stage
 
 HASH = "hash"
 SEQUENCE = "sequence"
@@ -71,6 +72,8 @@ def surrogate_dim(flat: DataFrame, spec: SurrogateDim, keys: str = HASH) -> Data
     rows = distinct_rows(require(flat, spec.required), spec.natural_key)
     if keys == HASH:
         surrogate = natural_hash(spec.natural_key)
+    elif spec.key.unique and not spec.key.numbered:
+        return unique_dim(rows, spec)
     elif not spec.key.numbered:
         surrogate = spec.key.prefix()
     else:
@@ -79,16 +82,37 @@ def surrogate_dim(flat: DataFrame, spec: SurrogateDim, keys: str = HASH) -> Data
     return rows.select(surrogate.alias(spec.primary_key), *spec.natural_key)
 
 
-def fact_with_hashes(flat: DataFrame, star: Snowflake, null_safe: bool = False) -> DataFrame:
-    """Fact whose foreign keys are computed in place: a projection, without join or shuffle.
+def unique_dim(rows: DataFrame, spec: SurrogateDim) -> DataFrame:
+    """Readable ids without a number, made unique: natural keys that share one get ``-1``, ``-2``, ... in their order.
 
-    As with lookups, a null in the natural key gives a null foreign key unless ``null_safe``.
+    ``rows`` are distinct. An id that only one natural key has stays as it is. Rows are numbered over all ids at once and each
+    id's first number is looked up, so that an id that very many natural keys share is spread like any other.
     """
+    ids = rows.withColumn("_prefix", spec.key.prefix())
+    placed = dense_sequence(ids, ["_prefix", *spec.natural_key], "_sequence")
+    groups = placed.groupBy("_prefix").agg(F.min("_sequence").alias("_first"), F.count(F.lit(1)).alias("_keys"))
+    shared = stage(groups.filter("_prefix is not null and _keys > 1").select("_prefix", "_first"), "shared-ids")
+    found = lookup(placed, shared, ["_prefix"], ["_first"])
+    suffix = F.concat(F.lit("-"), (F.col("_sequence") - F.col("_first") + 1).cast("string"))
+    surrogate = F.when(F.col("_first").isNotNull(), F.concat("_prefix", suffix)).otherwise(F.col("_prefix"))
+    return found.select(surrogate.alias(spec.primary_key), *spec.natural_key)
+
+
+def hashed_fact_columns(star: Snowflake, null_safe: bool = False) -> list[Column]:
+    """The fact's columns over the flat table, foreign keys computed in place."""
     surrogates = {
         dim.primary_key: _when_present(dim.required if null_safe else dim.natural_key, natural_hash(dim.natural_key))
         for dim in star.surrogate_dims
     }
-    return _fact_columns(flat, star, surrogates)
+    return _fact_columns(star, surrogates)
+
+
+def fact_with_hashes(flat: DataFrame, star: Snowflake, null_safe: bool = False) -> DataFrame:
+    """Fact whose foreign keys are computed in place: a projection, without join or shuffle.
+
+    As with lookups, a null in the natural key gives a null foreign key unless ``null_safe``.
+    """
+    return flat.select(*hashed_fact_columns(star, null_safe))
 
 
 def fact_with_lookups(
@@ -98,9 +122,9 @@ def fact_with_lookups(
     null_safe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Fact whose numbered foreign keys are looked up in the given dimensions.
+    """Fact whose numbered or made-unique foreign keys are looked up in the given dimensions.
 
-    A key without a sequence number is a function of the natural key and is computed in place.
+    Any other key is a function of the natural key and is computed in place.
     """
     natural = [name for dim in star.surrogate_dims for name in dim.natural_key]
     own = [field.name for field in star.fact.fields]
@@ -108,7 +132,7 @@ def fact_with_lookups(
     fact = rows
     computed = {}
     for dim in star.surrogate_dims:
-        if dim.key.numbered:
+        if dim.key.looked_up:
             fact = lookup(
                 fact,
                 tables[dim.name],
@@ -121,7 +145,7 @@ def fact_with_lookups(
         else:
             present = dim.required if null_safe else dim.natural_key
             computed[dim.primary_key] = _when_present(present, dim.key.prefix())
-    return _fact_columns(fact, star, computed)
+    return fact.select(*_fact_columns(star, computed))
 
 
 def _when_present(columns: list[str] | tuple[str, ...], value: Column) -> Column:
@@ -130,13 +154,13 @@ def _when_present(columns: list[str] | tuple[str, ...], value: Column) -> Column
     return F.when(reduce(operator.and_, [F.col(name).isNotNull() for name in columns]), value)
 
 
-def _fact_columns(df: DataFrame, star: Snowflake, computed: dict[str, Column]) -> DataFrame:
+def _fact_columns(star: Snowflake, computed: dict[str, Column]) -> list[Column]:
     casts = {field.name: field.cast for field in star.fact.fields if field.cast}
     columns = []
     for name in star.fact.columns:
         value = computed.get(name, F.col(name))
         columns.append((value.try_cast(casts[name]) if name in casts else value).alias(name))
-    return df.select(*columns)
+    return columns
 
 
 def normalize(

@@ -34,11 +34,20 @@ class StatusRule:
 
 @dataclass(frozen=True)
 class KeyRule:
-    """Readable surrogate key: a prefix over the natural key, then an optional sequence number."""
+    """Readable surrogate key: a prefix over the natural key, then an optional sequence number.
+
+    Without a number, natural keys with one prefix share an id, unless ``unique`` adds their order to those that do.
+    """
 
     prefix: Callable[[], Column]
     numbered: bool = True
     pad: int = 0
+    unique: bool = False
+
+    @property
+    def looked_up(self) -> bool:
+        """True if the key cannot be computed from the natural key alone."""
+        return self.numbered or self.unique
 
 
 @dataclass(frozen=True, kw_only=True)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flakeform.plans.specs import Snowflake
 from flakeform.sources.csv import write_csv
+from flakeform.sources.ledger import LoadLedger
 
 # Fixed value: rows in a preview.
 PREVIEW_ROWS = 20
@@ -22,10 +23,18 @@ def load_tables(
     tables: Mapping[str, DataFrame],
     star: Snowflake,
     sink: Callable[[DataFrame, str], None],
+    ledger: LoadLedger | None = None,
 ) -> None:
-    """Hand every table to the sink, parents before the tables that refer to them."""
+    """Hand every table to the sink, parents before the tables that refer to them.
+
+    With a ledger, tables that it has on record are passed over, and each is recorded when its sink has returned.
+    """
     for name in star.load_order():
-        sink(tables[name], name)
+        if ledger is None:
+            sink(tables[name], name)
+        elif not ledger.loaded(name):
+            sink(tables[name], name)
+            ledger.record(name)
 
 
 def write_parquet(tables: Mapping[str, DataFrame], star: Snowflake, path: str) -> None:

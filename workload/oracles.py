@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from workload.queries import CUTOFF, DIM_QUERIES, EVENT_CUTOFF, SECOND_BATCH
-from workload.visits import visits_sql
+from workload.visits import COLUMNS, DIRT, visits_sql
 
 ID_OF = {
     "DimPatient": "patient_id",
@@ -388,18 +388,91 @@ def _dim_hash_keys() -> str:
     return _with_visits(" UNION ALL ".join(rows))
 
 
-def _flat_again(readable: bool) -> str:
+def _unique_locations() -> str:
+    prefix = _readable("DimLocation", "0")
+    order = f"row_number() OVER (PARTITION BY prefix ORDER BY {_in_order('DimLocation')})"
+    return (
+        "SELECT CASE WHEN prefix IS NOT NULL AND count(*) OVER (PARTITION BY prefix) > 1"
+        f" THEN prefix || '-' || CAST({order} AS VARCHAR) ELSE prefix END AS location_id, clinic_name, room_number"
+        f" FROM (SELECT {prefix} AS prefix, clinic_name, room_number FROM ({_distinct('DimLocation')}))"
+    )
+
+
+MOMENTS = ["visit_datetime", "billing_date", "lab_result_date"]
+FORMS = {
+    "integer": "^[+-]?(0|[1-9][0-9]*)$",
+    "decimal": "^[+-]?(0|[1-9][0-9]*)\\.[0-9]+$",
+    "double": "^[+-]?(0|[1-9][0-9]*)(\\.[0-9]+)?[eE][+-]?[0-9]{1,3}$",
+    "date": "^[0-9]{4}-[0-9]{2}-[0-9]{2}$",
+    "timestamp_ntz": "^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\\.[0-9]{1,6})?$",
+    "timestamp": "^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\\.[0-9]{1,6})?(Z|[+-][0-9]{2}:[0-9]{2})$",
+}
+
+
+def _csv_types() -> str:
+    """Kinds of all values as a CSV spells them, counted from one long table of texts."""
+    cells = []
+    for position, name in enumerate(COLUMNS):
+        text = f"strftime({name}, '%Y-%m-%dT%H:%M:%S.%g')" if name in MOMENTS else f"CAST({name} AS VARCHAR)"
+        cells.append(f"{{'position': {position}, 'column': '{name}', 'v': {text}}}")
+    kinds = " ".join(f"WHEN regexp_matches(v, '{form}') THEN '{kind}'" for kind, form in FORMS.items())
+    least = ", ".join(f"min(v) FILTER (kind = '{kind}') AS {kind}" for kind in [*FORMS, "text"])
+    return _with_visits(
+        "SELECT position, \"column\", CASE WHEN \"text\" IS NOT NULL OR (numbers > 0 AND moments > 0) THEN 'string'"
+        " WHEN \"double\" IS NOT NULL OR whole + fraction > 38 THEN 'double'"
+        " WHEN \"decimal\" IS NOT NULL OR whole > 18 THEN 'decimal(' || (whole + fraction) || ',' || fraction || ')'"
+        " WHEN whole > 9 THEN 'bigint' WHEN numbers > 0 THEN 'int'"
+        " WHEN \"timestamp\" IS NOT NULL THEN 'timestamp' WHEN timestamp_ntz IS NOT NULL THEN 'timestamp_ntz'"
+        " WHEN \"date\" IS NOT NULL THEN 'date' ELSE 'string' END AS type, \"values\","
+        ' "integer", "decimal", "double", "date", timestamp_ntz, "timestamp", "text" FROM found',
+        cells=f"SELECT unnest([{', '.join(cells)}]) AS c FROM visits",
+        kinds=f"SELECT c.position AS position, c.\"column\" AS \"column\", c.v AS v, CASE WHEN c.v IS NULL THEN NULL {kinds.replace('(v,', '(c.v,')} ELSE 'text' END AS kind FROM cells",
+        found=f"SELECT position, \"column\", count(v) AS \"values\", {least},"
+        " coalesce(max(length(regexp_extract(v, '^[+-]?([0-9]+)', 1))) FILTER (kind IN ('integer', 'decimal')), 0) AS whole,"
+        " coalesce(max(length(regexp_extract(v, '\\.([0-9]+)$', 1))) FILTER (kind = 'decimal'), 0) AS fraction,"
+        " count(*) FILTER (kind IN ('integer', 'decimal', 'double')) AS numbers,"
+        " count(*) FILTER (kind IN ('date', 'timestamp_ntz', 'timestamp')) AS moments FROM kinds GROUP BY ALL",
+    )
+
+
+# The typed columns of the flat input, in its order.
+FLAT_TYPES = {
+    "visit_datetime": "timestamp",
+    "patient_date_of_birth": "date",
+    "billing_total_charge": "decimal(10,2)",
+    "billing_amount_paid": "decimal(10,2)",
+    "billing_date": "date",
+    "room_number": "int",
+    "prescription_duration_days": "int",
+    "lab_result_value": "double",
+    "lab_result_date": "timestamp",
+}
+
+
+def _losses() -> str:
+    rows = []
+    for name, kind in FLAT_TYPES.items():
+        where, text = DIRT.get(name, ("FALSE", "''"))
+        rows.append(
+            f"SELECT '{name}' AS \"column\", '{kind}' AS type,"
+            f" count(CASE WHEN {where} THEN {text} ELSE CAST({name} AS VARCHAR) END) AS given,"
+            f" count(CASE WHEN {where} THEN {text} END) AS lost FROM visits"
+        )
+    return _with_visits(" UNION ALL ".join(rows))
+
+
+def _flat_again(readable: bool, unique: bool = False) -> str:
     """The flat rows with what normalizing changes: entities as last seen, no description where the code is missing.
 
     A readable treatment id without a code is null, so there its description is lost as well; readable location ids
-    collide and are left out.
+    collide and are left out unless they are unique, and are null without a room.
     """
     chosen, joins = ["v.visit_id", "v.visit_type"], []
-    needs = {**REQUIRED, "DimTreatment": "treatment_code"} if readable else REQUIRED
+    needs = {**REQUIRED, "DimTreatment": "treatment_code", "DimLocation": "room_number"} if readable else REQUIRED
     for table, query in {**_natural_dims(), **NATURAL}.items():
         key = ID_OF[table]
         if table in NATURAL:
-            if not readable or table != "DimLocation":
+            if not readable or unique or table != "DimLocation":
                 needed = f"v.{needs[table]} IS NOT NULL" if table in needs else "TRUE"
                 chosen += [f"CASE WHEN {needed} THEN v.{name} END AS {name}" for name in NATURAL[table]]
             continue
@@ -494,6 +567,11 @@ def oracles() -> dict[str, str]:
             f"SELECT location_id, count(*) AS rows FROM ({_numbered('DimLocation')})"
             " WHERE location_id IS NOT NULL GROUP BY location_id HAVING count(*) > 1"
         ),
+        "dim_location_unique": _with_visits(_unique_locations()),
+        "pk_violations_location_unique": _with_visits(
+            f"SELECT location_id, count(*) AS rows FROM ({_unique_locations()})"
+            " WHERE location_id IS NOT NULL GROUP BY location_id HAVING count(*) > 1"
+        ),
         "pk_nulls": _with_visits(f"SELECT * FROM ({_numbered('DimLocation')}) WHERE location_id IS NULL"),
         "fk_violations": _with_visits(
             "SELECT insurance_id, count(*) AS rows FROM visits v WHERE insurance_id IS NOT NULL AND NOT EXISTS"
@@ -503,12 +581,15 @@ def oracles() -> dict[str, str]:
         "constraint_report": _constraints(),
         "csv_roundtrip": "SELECT * FROM orders",
         "csv_infer_roundtrip": _with_visits(
-            "SELECT visit_id, CAST(patient_zip AS INTEGER) AS patient_zip, patient_city, room_number,"
-            " lab_result_value, visit_type FROM visits"
+            "SELECT * REPLACE (CAST(patient_id AS INTEGER) AS patient_id,"
+            " CAST(patient_date_of_birth AS DATE) AS patient_date_of_birth) FROM visits"
         ),
+        "csv_types": _csv_types(),
+        "cast_losses": _losses(),
         "csv_to_fact": _with_visits(_fact_hashed()),
         "load_and_read_back": _loaded(),
         "export_and_read_back": _loaded(),
+        "one_pass_load": _loaded(),
         "batch_keys": _batch_keys(),
         "batch_fact": _with_visits(
             _fact_joined("=", lambda table: _numbered(table) if table == "DimLocation" else _numbered_in_batches(table))
@@ -523,4 +604,5 @@ def oracles() -> dict[str, str]:
         "preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 20",
         "normalize_roundtrip": _flat_again(readable=False),
         "normalize_roundtrip_sequence": _flat_again(readable=True),
+        "normalize_roundtrip_unique": _flat_again(readable=True, unique=True),
     }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from flakeform.functions import initials, length_bucket, padded_sequence, reduced_code, text_length
 from flakeform.operators import clean, constraints, profile, status
 from flakeform.operators.lookup import lookup
+from flakeform.operators.losses import CastLosses
 from flakeform.operators.registry import KeyRegistry
 from flakeform.operators.sequence import dense_sequence
 from flakeform.plans.batches import Batches
@@ -26,11 +27,12 @@ from flakeform.plans.normalize import (
     surrogate_dim,
     surrogate_rows,
 )
-from flakeform.plans.specs import Field, NaturalDim, TableSpec
-from flakeform.sources.csv import read_csv, write_csv
+from flakeform.plans.onepass import normalize_once
+from flakeform.plans.specs import Field, NaturalDim, Snowflake, TableSpec
+from flakeform.sources.csv import read_csv, read_inferred, write_csv
 from flakeform.sources.staging import new_folder, stage
 from flakeform.sources.tables import export_tables, load_tables, preview, read_parquet
-from workload.visits import table, visits
+from workload.visits import dirty_visits, table, visits
 
 # The driver's dates run from 1995 to 2001, so this cutoff splits them.
 CUTOFF = "2000-12-31"
@@ -39,6 +41,7 @@ EVENT_CUTOFF = "2024-01-10"
 SECOND_BATCH = "1998-01-01"
 OWN_SIZES = (200, 2000, 20000)
 STAR = healthcare(status_cutoff=CUTOFF)
+UNIQUE_STAR = healthcare(status_cutoff=CUTOFF, unique_locations=True)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -230,6 +233,16 @@ def pk_violations_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.duplicate_keys(_dim("DimLocation", SEQUENCE, spark, sf_dir), "location_id")
 
 
+def dim_location_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Location ids with the order of those that clinics share."""
+    spec = UNIQUE_STAR.table("DimLocation")
+    return surrogate_dim(visits(spark, sf_dir, _inputs(spec)), spec, SEQUENCE)
+
+
+def pk_violations_location_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return constraints.duplicate_keys(dim_location_unique(spark, sf_dir), "location_id")
+
+
 def pk_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.null_keys(_dim("DimLocation", SEQUENCE, spark, sf_dir), "location_id")
 
@@ -258,10 +271,21 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_infer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Types come from the text alone: the zero-padded ZIP code turns into a number."""
-    wanted = ["visit_id", "patient_zip", "patient_city", "room_number", "lab_result_value", "visit_type"]
-    flat = visits(spark, sf_dir, wanted)
-    return read_csv(spark, _csv_copy(flat, "visits-csv"))
+    """All columns typed by their text alone: codes with leading zeros stay text, fractions compare as doubles."""
+    flat, _ = read_inferred(spark, _csv_copy(visits(spark, sf_dir), "visits-csv"))
+    return flat.select(*[F.col(c).cast("double") if kind.startswith("decimal") else F.col(c) for c, kind in flat.dtypes])
+
+
+def csv_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type of every column of the visits, told from their text, with a value of each kind found."""
+    return read_inferred(spark, _csv_copy(visits(spark, sf_dir), "visits-csv"))[1]
+
+
+def cast_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of a dirty CSV that its schema cannot hold, counted while the rows are staged."""
+    losses = CastLosses()
+    normalize_csv(spark, _csv_copy(dirty_visits(spark, sf_dir), "dirty-csv"), STAR, losses=losses)
+    return losses.report(spark)
 
 
 def csv_to_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,26 +335,31 @@ def preview_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(table(spark, sf_dir, "customer").orderBy("c_custkey"))
 
 
-def _roundtrip(keys: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def _roundtrip(keys: str, spark: SparkSession, sf_dir: str, star: Snowflake = STAR) -> DataFrame:
     """Normalize, then put the flat rows together again from the fact and its dimensions.
 
-    Readable location ids collide, so in sequence mode a visit cannot tell its clinic by them.
+    Readable location ids collide unless made unique; where they do, a visit cannot tell its clinic by them.
     """
     flat = stage(visits(spark, sf_dir), "visits")
-    tables = normalize(flat, STAR, keys, null_safe=True)
+    tables = normalize(flat, star, keys, null_safe=True)
     fact = tables["FacVisit"]
     whole = fact
     wanted = {
         spec.name: [name for name in tables[spec.name].columns if name not in fact.columns]
-        for spec in STAR.dims
-        if keys == HASH or spec.name != "DimLocation"
+        for spec in star.dims
+        if keys == HASH or star is UNIQUE_STAR or spec.name != "DimLocation"
     }
     for name, columns in wanted.items():
-        key = STAR.table(name).primary_key
+        key = star.table(name).primary_key
         whole = lookup(whole, stage(tables[name], name), [key], columns, counted=fact)
     return whole.select("visit_id", "visit_type", *[name for columns in wanted.values() for name in columns])
 
 
+def one_pass_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables from one pass over the joined visits: rows and digest of the contents per table."""
+    return _digests(normalize_once(visits(spark, sf_dir), STAR, new_folder(spark, "one-pass")))
+
+
 def _two_batches(flat: DataFrame) -> list[DataFrame]:
     early = F.col("billing_date") < F.lit(SECOND_BATCH).cast("date")
     return [flat.filter(early), flat.filter(~early)]
@@ -418,14 +447,19 @@ QUERIES: dict[str, Query] = {
     "distinct_initials": distinct_initials,
     "pk_violations": pk_violations,
     "pk_violations_location": pk_violations_location,
+    "dim_location_unique": dim_location_unique,
+    "pk_violations_location_unique": pk_violations_location_unique,
     "pk_nulls": pk_nulls,
     "fk_violations": fk_violations,
     "constraint_report": constraint_report,
     "csv_roundtrip": csv_roundtrip,
     "csv_infer_roundtrip": csv_infer_roundtrip,
+    "csv_types": csv_types,
+    "cast_losses": cast_losses,
     "csv_to_fact": csv_to_fact,
     "load_and_read_back": load_and_read_back,
     "export_and_read_back": export_and_read_back,
+    "one_pass_load": one_pass_load,
     "batch_keys": batch_keys,
     "batch_fact": batch_fact,
     "batch_load_and_read_back": batch_load_and_read_back,
@@ -433,4 +467,5 @@ QUERIES: dict[str, Query] = {
     "preview": preview_customers,
     "normalize_roundtrip": partial(_roundtrip, HASH),
     "normalize_roundtrip_sequence": partial(_roundtrip, SEQUENCE),
+    "normalize_roundtrip_unique": partial(_roundtrip, SEQUENCE, star=UNIQUE_STAR),
 }

@@ -69,6 +69,17 @@ COLUMNS = {
     "lab_result_date": "CASE WHEN l_linestatus = 'O' THEN l_shipdate END",
 }
 
+# Dirt for a CSV of visits: column, condition and the text that stands for the value there.
+DIRT = {
+    "visit_datetime": ("visit_type = '1-URGENT'", "'soon'"),
+    "patient_date_of_birth": ("patient_gender = 'B'", "'31/12/1999'"),
+    "billing_total_charge": ("insurance_plan_type = 'N'", "'123456789012.00'"),
+    "billing_amount_paid": ("insurance_plan_type = 'R'", "'paid ' || CAST(billing_amount_paid AS STRING)"),
+    "room_number": ("room_number > 120", "'Room ' || CAST(room_number AS STRING)"),
+    "prescription_duration_days": ("prescription_duration_days > 40", "'weeks'"),
+    "lab_result_value": ("lab_test_code = 'Brand#3'", "'pending'"),
+}
+
 # Tables in join order after lineitem: column prefix, join condition, table needed before.
 JOINS = {
     "orders": ("o_", "l_orderkey = o_orderkey", None),
@@ -111,6 +122,13 @@ def visits(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = Non
     return flat.select(*[F.expr(rule).alias(name) for name, rule in chosen.items()])
 
 
+def dirty_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table as text, with the dirt."""
+    flat = visits(spark, sf_dir)
+    soiled = {name: f"CASE WHEN {where} THEN {text} ELSE CAST({name} AS STRING) END" for name, (where, text) in DIRT.items()}
+    return flat.select(*[F.expr(soiled.get(name, name)).alias(name) for name in flat.columns])
+
+
 def visits_sql() -> str:
     """The same flat table as a SQL query."""
     columns = ",\n  ".join(f"{rule} AS {name}" for name, rule in COLUMNS.items())
