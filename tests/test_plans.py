@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flakeform import healthcare
 from flakeform.operators.constraints import constraint_report, orphans
+from flakeform.operators.lookup import lookup
 from flakeform.operators.profile import global_length, overlong_samples
 from flakeform.operators.status import entity_status
 from flakeform.plans.normalize import fact_with_hashes, natural_dim, normalize, surrogate_dim
@@ -71,9 +72,19 @@ def test_profile_shuffles_one_row_per_partition(flat):
     assert "SinglePartition" in plan_of(global_length(flat))
 
 
-def test_samples_never_sort_whole_columns(flat):
-    plan = plan_of(overlong_samples(flat.select("visit_id", "visit_type"), "visit_id", limit=3))
-    assert plan.count("TakeOrderedAndProject") == 2
+def test_samples_of_all_columns_take_one_scan_and_are_limited_before_the_shuffle(flat):
+    samples = overlong_samples(flat.select("visit_id", "visit_type"), "visit_id", limit=3)
+    plan = plan_of(samples)
+    assert plan.count("FileScan") == 1 and shuffles(samples) == 1
+    assert "WindowGroupLimit" in plan.split("Exchange")[1]
+
+
+def test_shuffled_lookup_is_a_merge_join(conf, flat):
+    conf(autoBroadcastJoinThreshold="-1")
+    spec = STAR.table("DimProvider")
+    dim = stage(surrogate_dim(flat, spec), "provider")
+    plan = plan_of(lookup(flat, dim, spec.natural_key, ["provider_id"], broadcast_bytes=0))
+    assert plan.count("SortMergeJoin") == 1 and "ShuffledHashJoin" not in plan
 
 
 def test_reference_check_shuffles_each_side_once(conf, flat):
