@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import zlib
@@ -25,7 +26,7 @@ PIECES_PER_PACKER = 32768
 #: Levels of packers: bins that are still open at the end of one level are items of the next.
 LEVELS = 2
 #: Encoded words that a Python worker keeps, in two generations.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 900_000
 #: Words that the tokenizer takes in one call; its results hold far more than the ids.
 ENCODED_AT_ONCE = 8192
 #: Words of letters that are encoded as one text.
@@ -96,7 +97,7 @@ class WordEncoder:
             self.words, self.earlier = {}, self.words
         known, earlier = self.words, self.earlier
         missing = [word for word in words if word not in known]
-        known.update([(word, earlier[word]) for word in missing if word in earlier])
+        known.update({word: earlier[word] for word in missing if word in earlier})
         new = [word for word in missing if word not in known]
         rows = _SIMPLE.findall(b"\n".join([*new, b""]).decode())
         stems = list({stem for stem, _, rest in rows if not rest} - {""})
@@ -108,7 +109,7 @@ class WordEncoder:
         marks = list(ends - self.marks.keys())
         self.marks.update(zip(marks, self._encode(self.whole, marks), strict=True))
         kept = self.marks
-        known.update([(word, letters[stem] + kept[mark]) for word, (stem, mark, rest) in zip(new, rows, strict=True) if not rest])
+        known.update({word: letters[stem] + kept[mark] for word, (stem, mark, rest) in zip(new, rows, strict=True) if not rest})
         other = [word for word, (_, _, rest) in zip(new, rows, strict=True) if rest]
         known.update(zip(other, self._encode(self.whole, [word.decode() for word in other]), strict=True))
 
@@ -129,7 +130,13 @@ class WordEncoder:
                     words.append(text.lower().split())
                 size += len(text)
                 to += 1
-            self.learn(set().union(*words))
+            collecting = gc.isenabled()
+            gc.disable()  # there are no cycles here, but very many tuples that the collector would look at
+            try:
+                self.learn(set().union(*words))
+            finally:
+                if collecting:
+                    gc.enable()
             ids = self.words.__getitem__
             for x in words:
                 yield b"".join(map(ids, x)) + END
