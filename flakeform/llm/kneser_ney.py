@@ -1,27 +1,27 @@
-"""Quality by perplexity: an interpolated modified Kneser-Ney model of trusted text."""
+"""Quality by perplexity: an interpolated modified Kneser-Ney model of trusted text, joined with every document's n-grams."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flakeform.llm.common import mapped, texts
+from flakeform.llm.common import CHUNK_BYTES, mapped, release_kept, texts
+from flakeform.operators.lookup import lookup
 from flakeform.sources.staging import stage
 
 #: The model predicts a byte from so many bytes less one.
 ORDER = 4
-#: Trusted documents that the model is fitted on, chosen by a hash of the id.
-SAMPLE_DOCS = 20_000
-#: Contexts of full length that the model holds: the most frequent ones. The others back off.
-MAX_CONTEXTS = 1 << 16
 #: Share of a language's trusted documents that its threshold keeps, and what the threshold adds to that quantile.
 QUANTILE, MARGIN = 0.99, 1.1
-_START = 0
-_SLICE = 1 << 20
+#: Shards of n-grams in which groups of documents ask for their costs, and groups that ask in one task.
+SHARDS, GROUPS_AT_ONCE = 256, 4096
+_SLICE = 4 << 20
+#: Scatters n-grams over shards; odd, so that no two n-grams share a place, and small enough for a long.
+_SCATTER = 0x5851F42D
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -29,203 +29,222 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.filter("quality = 1 and toxic = 0 and doc_id is not null").select("doc_id").distinct()
 
 
-def _bytes(batch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in a row, each after ``ORDER - 1`` marks and before one; and the number of bytes in each."""
-    gap = bytes([_START]) * (ORDER - 1)
-    data = b"".join(x for text in batch for x in (gap, text.replace(b"\0", b" "), b"\0"))
-    return np.frombuffer(data, np.uint8), np.fromiter(map(len, batch), np.int64, len(batch))
+def _slices(batch: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """N-grams of all texts, as numbers, and the number of each one's text; a few million at a time, whatever a text's length.
+
+    A text stands after ``ORDER - 1`` marks and before one, so its end is an n-gram of its own.
+    """
+    some: list[bytes] = []
+    owner: list[int] = []
+    size = 0
+
+    def grams() -> tuple[np.ndarray, np.ndarray]:
+        code = np.frombuffer(b"".join(some), np.uint8).astype(np.uint32)
+        found = code[:-3] << 24 | code[1:-2] << 16 | code[2:-1] << 8 | code[3:]
+        counts = np.fromiter(map(len, some), np.int64, len(some)) - (ORDER - 1)
+        inside = np.ones(len(found), bool)
+        ends = np.cumsum(counts + ORDER - 1)[:-1]
+        for k in range(1, ORDER):
+            inside[ends - k] = False
+        return found[inside], np.repeat(np.array(owner), counts)
+
+    for i, text in enumerate(batch):
+        data = b"\0" * (ORDER - 1) + text.replace(b"\0", b" ") + b"\0"
+        for at in range(0, len(text) + 1, _SLICE):
+            some.append(data[at : at + _SLICE + ORDER - 1])
+            owner.append(i)
+            size += len(some[-1])
+            if size >= _SLICE:
+                yield grams()
+                some, owner, size = [], [], 0
+    if some:
+        yield grams()
 
 
 def grams(docs: DataFrame) -> DataFrame:
-    """Counts (``gram``, ``n``) of all n-grams of bytes of the full order, as numbers; a text's end is counted once."""
+    """(``gram``, ``n``): every n-gram of all texts, and how often trusted texts (``trusted``) have it, 0 if never."""
 
     def count(batch: pa.RecordBatch) -> pa.Table:
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        some, size = [], 0
-        for text in [*texts(batch), None]:
-            if text is not None:
-                some.append(text)
-                size += len(text)
-            if some and (text is None or size > 8 * _SLICE):
-                data, sizes = _bytes(some)
-                code = data.astype(np.uint32)
-                gram = code[:-3] << 24 | code[1:-2] << 16 | code[2:-1] << 8 | code[3:]
-                ends = np.cumsum(sizes + ORDER)
-                inside = np.ones(len(gram), bool)
-                for k in range(ORDER - 1):
-                    inside[np.minimum(ends - (ORDER - 1) + k, len(inside) - 1)[:-1]] = False
-                found.append(np.unique(gram[inside], return_counts=True))
-                some, size = [], 0
-        keys = np.concatenate([np.zeros(0, np.int64), *[a.astype(np.int64) for a, _ in found]])
-        return pa.table({"gram": pa.array(keys), "n": pa.array(np.concatenate([np.zeros(0, np.int64), *[b for _, b in found]]))})
-
-    counted = mapped(docs.select(F.col("text").cast("string")), count, "gram long, n long")
+        good = np.array(batch.column("trusted").to_pylist(), bool)
+        found = []
+        for keys, owner in _slices(texts(batch)):
+            for flag in (False, True):
+                some, n = np.unique(keys[good[owner] == flag], return_counts=True)
+                found.append((some.astype(np.int64), n * flag))
+        none = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        keys, n = (np.concatenate(x) for x in zip(*(found or none), strict=True))
+        return pa.table({"gram": pa.array(keys), "n": pa.array(n.astype(np.int64))})
+
+    counted = mapped(docs.select(F.col("text").cast("string"), "trusted"), count, "gram long, n long")
     return counted.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _discounted(counts: DataFrame) -> DataFrame:
-    """Interpolation of one order: (``gram``, ``context``, ``share``, ``context``'s ``rest``) from (``gram``, ``n``).
-
-    Discounts for counts of one, two, and more come from the numbers of n-grams that were seen one to four
-    times. A context's rest is what its discounts leave to the lower order. Counts meet their context's totals in a
-    join on the context, sharded by its hash.
-    """
-    seen = counts.agg(*[F.coalesce(F.sum((F.col("n") == k).cast("long")), F.lit(0)).alias(f"n{k}") for k in range(1, 5)]).first()
+def discounts(counts: DataFrame) -> list[float]:
+    """What counts of one, two, and more give up, from the numbers of n-grams that were seen one to four times."""
+    seen = counts.agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in range(1, 5)]).first()
     n1, n2, n3, n4 = (seen[f"n{k}"] for k in range(1, 5))
     y = n1 / (n1 + 2 * n2) if n1 else 0.5
     some = [k - (k + 1) * y * b / a if a and b else 0.5 * k for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-    some = [min(max(d, 0.05 * k), 0.95 * k) for k, d in zip((1, 2, 3), some, strict=True)]
-    take = F.when(F.col("n") == 1, some[0]).when(F.col("n") == 2, some[1]).otherwise(some[2])
-    split = counts.withColumn("context", F.shiftright("gram", 8)).withColumn("take", take)
-    totals = split.groupBy("context").agg(F.sum("n").alias("total"), F.sum("take").alias("taken"))
-    joined = split.join(totals, "context")
-    return joined.select(
-        "gram", "context", "total", ((F.col("n") - F.col("take")) / F.col("total")).alias("share"), (F.col("taken") / F.col("total")).alias("rest")
-    )
+    return [min(max(d, 0.05 * k), 0.95 * k) for k, d in zip((1, 2, 3), some, strict=True)]
 
 
-@dataclass(frozen=True)
-class Model:
-    """``full``: log2 probabilities for each held context (row) and byte; ``lower``: for each shorter context, likewise.
+def _low(gram: Column, size: int) -> Column:
+    """The last ``size`` bytes of an n-gram."""
+    return gram.bitwiseAND(F.lit((1 << 8 * size) - 1))
 
-    ``letter``: number of each byte, 0 for those never seen. ``held``: row of each full context, -1 if not held.
+
+def _probabilities(wanted: DataFrame, counts: DataFrame, lower: DataFrame) -> DataFrame:
+    """(``gram``, ``p``) of all wanted n-grams of one order, from counts of it and the probabilities of the order below.
+
+    A context's discounts are its rest, which goes to the lower order; without a count of the context that is all.
+    Each join is on the n-gram, its context, or its shorter form, sharded by their hashes.
     """
+    one, two, more = discounts(counts)
+    take = F.when(F.col("n") == 1, one).when(F.col("n") == 2, two).otherwise(more)
+    split = counts.select("gram", F.shiftright("gram", 8).alias("context"), "n", take.alias("take"))
+    totals = split.groupBy("context").agg(F.sum("n").alias("total"), F.sum("take").alias("taken"))
+    return (
+        wanted.withColumn("context", F.shiftright("gram", 8))
+        .join(split.select("gram", "n", "take"), "gram", "left")
+        .join(totals, "context", "left")
+        .join(lower.withColumnsRenamed({"gram": "shorter", "p": "below"}), F.col("short") == F.col("shorter"))
+        .select(
+            "gram",
+            (
+                F.coalesce((F.col("n") - F.col("take")) / F.col("total"), F.lit(0.0))
+                + F.coalesce(F.col("taken") / F.col("total"), F.lit(1.0)) * F.col("below")
+            ).alias("p"),
+        )
+    )
+
 
-    letter: np.ndarray
-    held: np.ndarray
-    full: np.ndarray
-    lower: np.ndarray
-
-    def bits(self, batch: list[bytes]) -> np.ndarray:
-        """Bits that the model needs for each text, its end included."""
-        data, sizes = _bytes(batch)
-        a = int(self.letter.max()) + 1
-        first = np.cumsum(sizes + ORDER) - (sizes + ORDER)
-        total = np.zeros(len(batch))
-        cost = np.empty(len(data), np.float32)
-        for at in range(ORDER - 1, len(data), _SLICE):
-            code = self.letter[data[at - ORDER + 1 : at + _SLICE]].astype(np.int32)
-            x, y, z, now = code[:-3], code[1:-2], code[2:-1], code[3:]
-            pair = y * a + z
-            row = self.held[x * (a * a) + pair]
-            cost[at : at + len(now)] = np.where(row >= 0, self.full[row, now], self.lower[pair, now])
-        cost[: ORDER - 1] = 0
-        sums = np.concatenate([[0.0], np.cumsum(cost, dtype=np.float64)])
-        begin = first + ORDER - 1
-        total[:] = sums[begin + sizes + 1] - sums[begin]
-        return -total
-
-
-def fit(docs: DataFrame) -> Model | None:
-    """Model of the given texts; None if there are none.
-
-    Lower orders count the different bytes before an n-gram, as Kneser-Ney wants. Counts, discounts
-    and contexts' totals are joined in Spark. What comes to the driver has a fixed bound: at most 256 bytes, their
-    pairs as contexts, and ``MAX_CONTEXTS`` longer contexts.
+def costs(all_grams: DataFrame) -> DataFrame | None:
+    """(``gram``, ``bits``): what the model of the trusted counts charges for every n-gram that any document has.
+
+    Lower orders count the different bytes before an n-gram, as Kneser-Ney wants; below the first is a uniform share.
+    None if nothing is trusted. ``all_grams`` is a staged result of :func:`grams`.
     """
-    order = stage(grams(docs), "grams")
-    if order.isEmpty():
+    tables = [all_grams.filter("n > 0")]
+    wanted = [all_grams.select("gram")]
+    for size in range(ORDER - 1, 0, -1):
+        shorter = _low(F.col("gram"), size).alias("gram")
+        tables.append(stage(tables[-1].select(shorter).groupBy("gram").agg(F.count(F.lit(1)).alias("n")), f"grams-{size}"))
+        wanted.append(wanted[-1].select(shorter).distinct())
+    sizes = tables[-1].agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).first()
+    if not sizes["total"]:
         return None
-    tables = [order]
-    for k in range(ORDER - 1, 0, -1):
-        mask = (1 << 8 * k) - 1
-        tables.append(
-            tables[-1].select(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-        )
-    single = {r["gram"]: r["n"] for r in tables[3].collect()}
-    letter = np.zeros(256, np.int64)
-    used = sorted(single)
-    letter[used] = np.arange(1, len(used) + 1)
-    a = len(used) + 1
-    # Order one, with a uniform share for unseen bytes.
-    uniform = 1 / 256
-    total, kinds = sum(single.values()), len(single)
-    one = np.full(a, 0.5 * kinds / total * uniform)
-    for byte, n in single.items():
-        one[letter[byte]] += (n - 0.5) / total
-
-    def rows(counts: DataFrame, most: int | None) -> tuple[np.ndarray, ...]:
-        found = _discounted(counts)
-        if most is not None:
-            best = found.select("context", "total").distinct().orderBy(F.desc("total"), "context").limit(most)
-            found = found.join(F.broadcast(best.select("context")), "context", "left_semi")
-        got = found.select("gram", "share", "rest").toPandas()
-        gram = got["gram"].to_numpy(np.int64)
-        return gram, got["share"].to_numpy(), got["rest"].to_numpy()
-
-    def spread(gram: np.ndarray, share: np.ndarray, rest: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distributions of all contexts of one order, from those of the order below by the shorter context."""
-        context, inverse = np.unique(gram >> 8, return_inverse=True)
-        backing = np.zeros(len(context))
-        backing[inverse] = rest
-        out = backing[:, None] * below
-        np.add.at(out, (inverse, letter[gram & 255]), share)
-        return context, out
-
-    gram, share, rest = rows(tables[2], None)
-    context = np.unique(gram >> 8)
-    context, two = spread(gram, share, rest, np.broadcast_to(one, (len(context), a)))
-    after_one = np.broadcast_to(one, (a, a)).copy()
-    after_one[letter[context]] = two
-    gram, share, rest = rows(tables[1], None)
-    context = np.unique(gram >> 8)
-    context, three = spread(gram, share, rest, after_one[letter[context & 255]])
-    lower = np.broadcast_to(after_one[None], (a, a, a)).reshape(a * a, a).copy()
-    lower[letter[context >> 8] * a + letter[context & 255]] = three
-    gram, share, rest = rows(tables[0], MAX_CONTEXTS)
-    context = np.unique(gram >> 8)
-    context, four = spread(gram, share, rest, lower[letter[context >> 8 & 255] * a + letter[context & 255]])
-    held = np.full(a**3, -1, np.int32)
-    held[letter[context >> 16] * a * a + letter[context >> 8 & 255] * a + letter[context & 255]] = np.arange(len(context))
-    return Model(letter, held, np.log2(four).astype(np.float32), np.log2(lower).astype(np.float32))
-
-
-def perplexity(docs: DataFrame, model: Model | None) -> DataFrame:
-    """Per row ``doc_id``, ``lang``, ``n_bytes`` and ``perplexity`` (per byte, the end included; null without a model).
-
-    The whole text is scored; a null text is empty.
+    share = (F.col("n") - 0.5) / F.lit(float(sizes["total"]))
+    uniform = 0.5 * sizes["kinds"] / sizes["total"] / 256
+    found = wanted[-1].join(tables[-1], "gram", "left").select("gram", (F.coalesce(share, F.lit(0.0)) + F.lit(uniform)).alias("p"))
+    for size in range(2, ORDER + 1):
+        here = wanted[ORDER - size].withColumn("short", _low(F.col("gram"), size - 1))
+        found = stage(_probabilities(here, tables[ORDER - size], found), f"order-{size}")
+    return found.select("gram", (-F.log2("p")).cast("float").alias("bits"))
+
+
+def _scattered(grams: np.ndarray) -> np.ndarray:
+    """Places of n-grams among 2^32, no two alike; the leading bits number the shard."""
+    return (grams.astype(np.uint64) * np.uint64(_SCATTER)).astype(np.uint32)
+
+
+def _distinct(batch: list[bytes]) -> np.ndarray:
+    """Scattered places of all n-grams of some texts, each once, in order."""
+    found = [np.unique(keys) for keys, _ in _slices(batch)]
+    return np.sort(_scattered(np.unique(np.concatenate([np.zeros(0, np.uint32), *found]))))
+
+
+def perplexity(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """Per row ``doc_id``, ``lang``, ``trusted``, ``n_bytes`` and ``perplexity`` (per byte, the end included).
+
+    Documents are dealt to groups of a few megabytes, and texts are shuffled to them once. A group lists its distinct n-grams, cut
+    into shards; in each shard they meet the costs of :func:`costs`, and the answers go back to the group, which sums them over each
+    whole text. So a document costs one entry per n-gram of its group, and no task holds the model. Groups and rows
+    in a shard follow the input in number, not in size. A null text is empty.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = texts(batch)
-        values: list[float | None] = [None] * len(found)
-        if shared.value is not None:
-            values, some, size = [], [], 0
-            for i, text in enumerate(found):
-                some.append(text)
-                size += len(text)
-                if size > 4 * _SLICE or i == len(found) - 1:
-                    bits = shared.value.bits(some)
-                    values += (2 ** (bits / (np.fromiter(map(len, some), np.int64, len(some)) + 1))).tolist()
-                    some, size = [], 0
-        return pa.record_batch(
-            [batch.column("doc_id"), batch.column("lang"), pa.array([len(x) for x in found], pa.int64()), pa.array(values, pa.float64())],
-            ["doc_id", "lang", "n_bytes", "perplexity"],
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"), "trusted")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 64
+    total = rows.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first()["n"]
+    groups = max(1, -(-total // CHUNK_BYTES))
+    spread = F.xxhash64("doc_id", F.octet_length("text"), F.monotonically_increasing_id())
+    grouped = rows.withColumn("group", F.pmod(spread, F.lit(groups)).cast("int"))
+    shard_bits = SHARDS.bit_length() - 1
+
+    def ask(table: pa.Table) -> pa.Table:
+        release_kept()
+        keys = _distinct(texts(table.select(["text"]).combine_chunks()))
+        cut = np.searchsorted(keys, np.arange(SHARDS + 1, dtype=np.uint64) << np.uint64(32 - shard_bits))
+        shards = [s for s in range(SHARDS) if cut[s] < cut[s + 1]]
+        return pa.table(
+            {
+                "shard": pa.array(shards, pa.int32()),
+                "group": pa.array([table.column("group")[0].as_py()] * len(shards), pa.int32()),
+                "keys": pa.array([keys[cut[s] : cut[s + 1]].tobytes() for s in shards], pa.binary()),
+            }
         )
 
-    return mapped(rows, score, "doc_id long, lang string, n_bytes long, perplexity double")
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        release_kept()
+        keys = _scattered(known.column("gram").to_numpy())
+        order = np.argsort(keys)
+        keys, bits = keys[order], known.column("bits").to_numpy()[order]
+        payload = [bits[np.searchsorted(keys, np.frombuffer(x, np.uint32))].tobytes() for x in asked.column("keys").to_pylist()]
+        return pa.table({"group": asked.column("group"), "shard": asked.column("shard"), "bits": pa.array(payload, pa.binary())})
+
+    def score(table: pa.Table, answers: pa.Table) -> pa.Table:
+        release_kept()
+        found = texts(table.select(["text"]).combine_chunks())
+        keys = _distinct(found)
+        parts = sorted(zip(answers.column("shard").to_pylist(), answers.column("bits").to_pylist(), strict=True))
+        bits = np.frombuffer(b"".join(x for _, x in parts), np.float32)
+        total = np.zeros(len(found))
+        for some, owner in _slices(found):
+            total += np.bincount(owner, bits[np.searchsorted(keys, _scattered(some))], len(found))
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        columns = {name: table.column(name) for name in ("doc_id", "lang", "trusted")}
+        return pa.table({**columns, "n_bytes": pa.array(lengths), "perplexity": pa.array(2.0 ** (total / (lengths + 1)))})
+
+    parts = -(-groups // GROUPS_AT_ONCE)
+    asked = grouped.groupBy("group").applyInArrow(ask, "shard int, group int, keys binary")
+    asked = asked.withColumn("part", F.floor(F.col("group") / GROUPS_AT_ONCE).cast("int"))
+    place = (F.col("gram") * F.lit(_SCATTER)).bitwiseAND(F.lit((1 << 32) - 1))
+    known = model.select(
+        "gram",
+        "bits",
+        F.shiftright(place, 32 - shard_bits).cast("int").alias("shard"),
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+    )
+    answered = asked.groupBy("shard", "part").cogroup(known.groupBy("shard", "part"))
+    answers = answered.applyInArrow(answer, "group int, shard int, bits binary")
+    scored = grouped.groupBy("group").cogroup(answers.groupBy("group"))
+    return scored.applyInArrow(score, "doc_id long, lang string, trusted boolean, n_bytes long, perplexity double")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document ``doc_id``, ``lang``, ``n_bytes``, ``perplexity``, ``threshold`` and ``kept``.
 
-    The model is fitted on a bounded hash sample of trusted documents. A language's threshold is a high quantile of
-    the perplexities of all its trusted documents, with a margin; a language without any, or null, takes that of
-    all trusted documents together. Documents up to the threshold are kept; without trusted documents all are.
-    Repeated rows stay.
+    The model counts all trusted documents. A language's threshold is a high quantile of the perplexities of its
+    trusted documents, with a margin; a language without any, or null, takes that of all trusted documents together.
+    Documents up to the threshold are kept; without trusted documents all are, and perplexity is null. Repeated rows
+    stay. A null text is empty; its perplexity is that of the end alone. Columns of the input other than ``doc_id``,
+    ``lang`` and ``text`` are not read. ``docs`` must be a scan or a staged table.
     """
-    trusted = stage(trusted_ids(labels), "trusted")
-    sample = trusted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    learned = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(sample), "doc_id", "left_semi")
-    scored = stage(perplexity(docs, fit(learned)), "perplexity")
-    good = scored.join(trusted, "doc_id", "left_semi")
+    trusted = stage(trusted_ids(labels).withColumn("trusted", F.lit(True)), "trusted")
+    rows = lookup(docs.select("doc_id", "lang", "text"), trusted.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)), ["doc_id"], ["trusted"])
+    rows = rows.withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    model = costs(stage(grams(rows), "grams"))
+    if model is None:
+        none = F.lit(None).cast("double")
+        size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+        return rows.select(
+            F.col("doc_id").cast("long"), "lang", size.alias("n_bytes"), none.alias("perplexity"), none.alias("threshold"), F.lit(True).alias("kept")
+        )
+    scored = stage(perplexity(rows, model), "perplexity")
     quantile = F.percentile_approx("perplexity", QUANTILE, 10_000) * F.lit(MARGIN)
-    by_language = good.filter("lang is not null").groupBy("lang").agg(quantile.alias("own"))
+    good = scored.filter("trusted")
+    by_language = stage(good.filter("lang is not null").groupBy("lang").agg(quantile.alias("own")), "thresholds")
     overall = good.agg(quantile.alias("overall")).first()["overall"]
     limit = F.coalesce("own", F.lit(overall).cast("double"))
-    return scored.join(by_language, "lang", "left").select(
+    return lookup(scored, by_language, ["lang"], ["own"]).select(
         "doc_id",
         "lang",
         "n_bytes",

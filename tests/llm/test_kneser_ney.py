@@ -1,4 +1,6 @@
+import re
 from collections import Counter
+from math import ceil, log2
 
 import numpy as np
 import pytest
@@ -8,35 +10,121 @@ from pyspark.sql import functions as F
 from flakeform.llm import kneser_ney as kn
 
 
-def test_grams(spark):
+def windows(text):
+    data = b"\0" * 3 + (text or "").encode().replace(b"\0", b" ") + b"\0"
+    return [data[i : i + 4] for i in range(len(data) - 3)]
+
+
+def discounts(counts):
+    seen = Counter(counts.values())
+    n1, n2, n3, n4 = (seen[k] for k in range(1, 5))
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    some = [
+        1 - 2 * y * n2 / n1 if n1 and n2 else 0.5,
+        2 - 3 * y * n3 / n2 if n2 and n3 else 1.0,
+        3 - 4 * y * n4 / n3 if n3 and n4 else 1.5,
+    ]
+    return [min(max(d, 0.05 * k), 0.95 * k) for k, d in zip((1, 2, 3), some)]
+
+
+class Plain:
+    """Interpolated modified Kneser-Ney by dictionaries, straight from the recursion."""
+
+    def __init__(self, texts):
+        self.counts = {4: Counter(g for t in texts for g in windows(t))}
+        for size in (3, 2, 1):
+            self.counts[size] = Counter(g[1:] for g in self.counts[size + 1])
+        self.discounts = {size: discounts(c) for size, c in self.counts.items()}
+        self.after = {size: {} for size in (2, 3, 4)}
+        for size in (2, 3, 4):
+            for g, n in self.counts[size].items():
+                self.after[size].setdefault(g[:-1], []).append(n)
+
+    def p(self, gram):
+        size, n = len(gram), self.counts[len(gram)].get(gram, 0)
+        if size == 1:
+            total = sum(self.counts[1].values())
+            return max(0, n - 0.5) / total * (n > 0) + 0.5 * len(self.counts[1]) / total / 256
+        some = self.after[size].get(gram[:-1])
+        if not some:
+            return self.p(gram[1:])
+        take = [self.discounts[size][min(m, 3) - 1] for m in some]
+        own = (n - self.discounts[size][min(n, 3) - 1]) / sum(some) if n else 0
+        return own + sum(take) / sum(some) * self.p(gram[1:])
+
+    def perplexity(self, text):
+        grams = windows(text)
+        return 2 ** (-sum(log2(self.p(g)) for g in grams) / len(grams))
+
+
+def labelled(spark, *good):
+    rows = [(i, 1, 0) for i in good] + [(2, 1, None), (None, 1, 0), (6, 1, 1), (8, 0, 0)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+GOOD = (1, 4, 5, 8, 11, 14, 16, 101, 102)
+
+
+@pytest.mark.parametrize("sizes", [None, (3000, 4096), (20_000, 1)])
+def test_everything_against_brute_force(spark, monkeypatch, sizes):
+    """Perplexity, thresholds and verdicts; also with many small groups, each in a part of its own."""
+    if sizes:
+        monkeypatch.setattr(kn, "CHUNK_BYTES", sizes[0])
+        monkeypatch.setattr(kn, "GROUPS_AT_ONCE", sizes[1])
+        monkeypatch.setattr(kn, "_SLICE", 500)
     docs = edges(spark)
-    want = Counter()
-    for r in docs.collect():
-        data = b"\0" * 3 + (r["text"] or "").encode() + b"\0"
-        want.update(int.from_bytes(data[i : i + 4]) for i in range(len(data) - 3))
-    assert {r["gram"]: r["n"] for r in kn.grams(docs).collect()} == want
-
-
-def test_distributions_sum_to_one(spark):
-    model = kn.fit(edges(spark).filter("doc_id < 30"))
-    unseen = (256 - (model.letter > 0).sum()) - 1
-    for table in (model.full, model.lower):
-        p = 2.0 ** table.astype(np.float64)
-        total = p[:, 1:].sum(axis=1) + p[:, 0] * (unseen + 1)
-        assert np.allclose(total, 1, atol=1e-3)
-
-
-def test_bits_against_plain_sums(spark):
-    model = kn.fit(edges(spark).filter("doc_id < 30"))
-    texts = [b"", b"one two", "ünseen ∆ bytes".encode(), b"x " * 100]
-    a = int(model.letter.max()) + 1
-    for text, got in zip(texts, model.bits(texts), strict=True):
-        data, want = b"\0" * 3 + text + b"\0", 0.0
-        for i in range(3, len(data)):
-            x, y, z, c = (int(model.letter[b]) for b in data[i - 3 : i + 1])
-            row = model.held[(x * a + y) * a + z]
-            want -= model.full[row, c] if row >= 0 else model.lower[y * a + z, c]
-        assert got == pytest.approx(want, rel=1e-4)
+    table = [tuple(r) for r in docs.select("doc_id", "lang", "text").collect()]
+    good = set(GOOD)
+    model = Plain([t for i, _, t in table if i in good])
+    scores = [(i, lang, model.perplexity(t)) for i, lang, t in table]
+
+    def limit(values):
+        values = sorted(values)
+        return 1.1 * values[ceil(0.99 * len(values)) - 1]
+
+    overall = limit([p for i, _, p in scores if i in good])
+    own = {lang: [p for i, x, p in scores if i in good and x == lang] for lang in {x for _, x, _ in scores if x}}
+    want = []
+    for (i, lang, p), (_, _, t) in zip(scores, table):
+        at = limit(own[lang]) if own.get(lang) else overall
+        want.append((i, lang, len((t or "").encode()), p, at, p <= at))
+    got = [tuple(r) for r in kn.judge(docs, labelled(spark, *GOOD).filter("doc_id != 8 or quality = 1")).collect()]
+    key = lambda r: (str(r[:3]), r[3])
+    assert len(got) == len(want)
+    for a, b in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert a[:3] == b[:3] and a[3:5] == pytest.approx(b[3:5], rel=1e-5)
+        assert a[5] == b[5] or a[3] == pytest.approx(a[4], rel=1e-5)
+    assert {r[5] for r in got} == {True, False}
+
+
+def test_grams_and_discounts(spark):
+    docs = edges(spark).withColumn("trusted", F.coalesce(F.col("doc_id") < 15, F.lit(False)))
+    rows = docs.select("text", "trusted").collect()
+    want = Counter(g for r in rows if r["trusted"] for g in windows(r["text"]))
+    every = {g for r in rows for g in windows(r["text"])}
+    got = {r["gram"].to_bytes(4, "big"): r["n"] for r in kn.grams(docs).collect()}
+    assert got.keys() == every and {g: n for g, n in got.items() if n} == want
+    assert kn.discounts(kn.grams(docs).filter("n > 0")) == pytest.approx(discounts(want))
+
+
+def test_probabilities_of_a_context_sum_to_one(spark):
+    """Over all 256 bytes that can follow, for seen and unseen contexts."""
+    docs = edges(spark).withColumn("trusted", F.coalesce(F.col("doc_id") < 15, F.lit(False)))
+    counted = kn.grams(docs).filter("n > 0")
+    contexts = [b"one", b" tw", b"w12", b"zzz", b"\xff\xfe\xfd", b"\0\0\0"]
+    all_bytes = [int.from_bytes(c + bytes([b]), "big") for c in contexts for b in range(256)]
+    asked = spark.createDataFrame([(g, 0) for g in all_bytes], "gram long, n long")
+    both = counted.unionByName(asked).groupBy("gram").agg(F.sum("n").alias("n"))
+    found = {r["gram"]: r["bits"] for r in kn.costs(both).collect()}
+    for c in contexts:
+        assert sum(2 ** -found[int.from_bytes(c + bytes([b]), "big")] for b in range(256)) == pytest.approx(1, abs=1e-4)
+
+
+def test_slices_keep_whole_texts(monkeypatch):
+    texts = [b"", b"abc", b"x" * 10_000, "é漢".encode() * 999, b"\0\0", b"end"]
+    monkeypatch.setattr(kn, "_SLICE", 257)
+    found = [(int(o), int(g).to_bytes(4, "big")) for keys, owner in kn._slices(texts) for g, o in zip(keys, owner)]
+    assert found == [(i, g) for i, t in enumerate(texts) for g in windows(t.decode())]
 
 
 def test_bad_documents_go_and_good_ones_stay(spark):
@@ -47,18 +135,16 @@ def test_bad_documents_go_and_good_ones_stay(spark):
     assert np.mean([r["kept"] for r in rows if r["quality"] == 0]) < 0.2
 
 
-def test_edges_and_nothing_trusted(spark):
-    labels = spark.createDataFrame([(1, 1, 0), (2, 1, None), (None, 1, 0), (4, 1, 0)], "doc_id long, quality int, toxic int")
-    docs = edges(spark)
-    rows = kn.judge(docs, labels).collect()
-    assert len(rows) == docs.count() and all(r["perplexity"] is not None and r["threshold"] is not None for r in rows)
-    assert {r["kept"] for r in rows if r["doc_id"] in (1, 4)} == {True}
-    assert {r["kept"] for r in kn.judge(docs, labels.filter("quality = 5")).collect()} == {True}
+def test_nothing_trusted_and_nothing_at_all(spark):
+    docs, labels = edges(spark), labelled(spark)
+    rows = kn.judge(docs, labels.filter("quality = 5")).collect()
+    assert len(rows) == docs.count() and {(r["perplexity"], r["kept"]) for r in rows} == {(None, True)}
     assert kn.judge(empty(spark), labels).count() == 0
 
 
-def test_only_held_contexts_differ(spark, monkeypatch):
-    """With few contexts held, the others back off and stay distributions."""
-    monkeypatch.setattr(kn, "MAX_CONTEXTS", 5)
-    model = kn.fit(edges(spark).filter("doc_id < 30"))
-    assert (model.held >= 0).sum() == 5 and F is not None
+def test_texts_are_shuffled_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("trusted", F.lit(True))
+    model = spark.createDataFrame([(1, 1.0)], "gram long, bits float")
+    scored = kn.perplexity(docs, model)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(group", plan)) <= 3 and "Broadcast" not in plan
