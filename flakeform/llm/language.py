@@ -15,14 +15,14 @@ from flakeform.llm.common import release_kept, texts, trim
 
 #: Labelled documents per language that the model is fitted on, chosen by a hash of the id.
 SAMPLE_PER_LANGUAGE = 200
-#: Characters of a sampled document that are used.
-SAMPLE_CHARS = 4000
+#: Longer documents (bytes) are sampled only where a language has too few others. Sampled texts are used whole.
+LONG_SAMPLE = 100_000
 #: Languages up to which batches, caches and documents per language have their full size; with more, they shrink.
 #: Every language is learned, from ``LEAST_PER_LANGUAGE`` documents at least where it has them; its weights take 1 MB.
 MANY_LANGUAGES = 64
 LEAST_PER_LANGUAGE = 20
-#: Words that one training chain has, chains taken from a document, and rounds over all chains.
-CHAIN, CHAINS_PER_DOC, EPOCHS = 32, 6, 6
+#: Words that one training chain has; rounds over all chains, at least and at most, for about so many steps in all.
+CHAIN, EPOCHS, STEPS = 32, (2, 12), 30_000
 #: Words that one chain has in prediction; a line is cut into chains of so many.
 LONGEST_CHAIN = 256
 #: Characters of a token; a longer word is cut into so many.
@@ -165,10 +165,8 @@ def fit(samples: dict[str, list[str]], seed: int = 7) -> Model:
     parts: list[tuple[int, list[str]]] = []
     for label, name in enumerate(languages):
         for text in samples[name]:
-            words = tokens(text.split())
-            places = range(0, len(words), CHAIN // 2)
-            for at in places if len(places) <= CHAINS_PER_DOC else draw.choice(places, CHAINS_PER_DOC, replace=False):
-                parts.append((label, words[at : at + CHAIN // 2]))
+            words = [w.decode() for w in byte_tokens(text.encode().split())]
+            parts += [(label, words[at : at + CHAIN // 2]) for at in range(0, len(words), CHAIN // 2)]
     weights, transitions = np.zeros((FEATURES, k), np.float32), np.zeros((k, k), np.float32)
     if k < 2 or not parts:
         return Model(languages, weights, transitions)
@@ -177,7 +175,7 @@ def fit(samples: dict[str, list[str]], seed: int = 7) -> Model:
     ends = np.append(starts[1:], len(number))
     square_w, square_t = np.full((FEATURES, 1), 1e-3, np.float32), np.full((k, k), 1e-3, np.float32)
     by_label = [[i for i, (label, _) in enumerate(parts) if label == x] for x in range(k)]
-    for _ in range(EPOCHS):
+    for _ in range(min(EPOCHS[1], max(EPOCHS[0], STEPS // len(parts)))):
         order = draw.permutation(len(parts))
         for at in range(0, len(order), 256):
             chains = []
@@ -221,19 +219,20 @@ def training_sample(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE
     """Texts of a hash sample of every language: at most ``per_language`` documents of each, fewer of each
     beyond ``MANY_LANGUAGES`` languages.
 
-    Ids are chosen first; then ``SAMPLE_CHARS`` characters of each text, from a hash-chosen start, come
-    to the driver.
+    Rows are chosen by id and a hash of the text, without the texts; rows with both equal count once. The chosen whole texts
+    come to the driver, so their number is bounded, whatever ids repeat.
     """
-    keyed = labelled.filter("lang is not null and text is not null and doc_id is not null")
+    keyed = labelled.filter("lang is not null and text is not null and doc_id is not null").select(
+        "lang", "doc_id", "text", F.xxhash64("text").alias("code")
+    )
     languages = keyed.select("lang").distinct().count()
     per_language = min(per_language, max(LEAST_PER_LANGUAGE, _fewer(per_language, languages)))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = keyed.select("lang", "doc_id")
-    ids = ids.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).select("lang", "doc_id").distinct()
-    start = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.char_length("text") - SAMPLE_CHARS)).cast("int") + 1
-    rows = keyed.join(F.broadcast(ids), ["lang", "doc_id"], "left_semi").select(
-        "lang", F.when(F.char_length("text") > SAMPLE_CHARS, F.substring(F.col("text"), start, F.lit(SAMPLE_CHARS))).otherwise(F.col("text")).alias("text"), "doc_id"
-    )
+    key = ["lang", "doc_id", "code"]
+    long = F.octet_length("text") > LONG_SAMPLE
+    order = Window.partitionBy("lang").orderBy("long", F.xxhash64("doc_id"), "doc_id", "code")
+    some = keyed.select(*key, long.alias("long")).distinct()
+    chosen = some.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_language).select(*key)
+    rows = keyed.join(F.broadcast(chosen), key, "left_semi").groupBy(*key).agg(F.min("text").alias("text"))
     samples: dict[str, list[str]] = {}
     for row in rows.orderBy("lang", "doc_id", "text").collect():
         samples.setdefault(row["lang"], []).append(row["text"])
@@ -288,15 +287,15 @@ def _document_scores(model: Model, batch: list[bytes], cache: dict[bytes, int],
     return total
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """The input with ``lang_pred`` and ``score`` (0 to 1) added, from the whole text of each row.
+def identify(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The input with ``lang_pred`` and ``score`` (0 to 1) added, or under other ``names``, from the whole text of each row.
 
     Every word gets label probabilities by forward-backward along its line (cut into chains of
     ``LONGEST_CHAIN`` words, long words into several); a document's language has the largest sum, the first in code-point order
     on a tie, and the score is its mean. Null texts, texts without a letter, and a model without
     languages give ``und`` with score 0. Columns named like the added ones are replaced.
     """
-    kept = docs.drop("lang_pred", "score")
+    kept = docs.drop(*names)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
@@ -306,29 +305,30 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             text = texts(batch)
             total = _document_scores(model, text, cache, table) if model.languages else np.zeros((len(text), 1))
-            names, scores = [], []
+            found, scores = [], []
             for raw, row in zip(text, total, strict=True):
                 if not model.languages or not row[-1] or not _LETTER.search(raw.decode("utf-8", "replace")):
-                    names.append(UNDETERMINED)
+                    found.append(UNDETERMINED)
                     scores.append(0.0)
                 else:
                     best = int(np.argmax(row[:-1]))
-                    names.append(model.languages[best])
+                    found.append(model.languages[best])
                     scores.append(float(min(1.0, max(0.0, row[best] / row[-1]))))
-            extra = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.record_batch([*batch.columns, *extra], [*batch.schema.names, "lang_pred", "score"])
+            extra = [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.record_batch([*batch.columns, *extra], [*batch.schema.names, *names])
         cache.clear()
         table.clear()
         trim()
 
     from pyspark.sql.types import DoubleType, StringType, StructType
 
-    schema = StructType([*kept.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType())
+    schema = StructType([*kept.schema.fields]).add(names[0], StringType()).add(names[1], DoubleType())
     return kept.mapInArrow(run, schema)
 
 
 def known_language(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
-    """Documents whose language is told with at least ``min_score``, with the columns of the input."""
-    found = identify(docs, model)
-    keep = (F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score)
-    return found.filter(keep).select(*docs.columns)
+    """Documents whose language is told with at least ``min_score``, with the columns of the input, whatever their names."""
+    names = ("_told_language", "_told_score")
+    row = docs.select("text", F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"))
+    found = identify(row, model, names)
+    return found.filter((F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= min_score)).select("_row.*")

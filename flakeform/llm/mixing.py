@@ -85,10 +85,11 @@ def with_copies(
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
-    """The mixed rows: each document as often as ``copies`` says, with the columns of the input."""
+    """The mixed rows: each document as often as ``copies`` says, with the columns of the input, whatever their names."""
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row")
     return (
-        with_copies(docs, **options)
+        with_copies(docs.select("doc_id", "text", "source", row), **options)
         .filter(F.col("copies") > 0)
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(*docs.columns)
+        .select("_row.*")
     )

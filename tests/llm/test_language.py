@@ -86,6 +86,37 @@ def test_every_language_is_learned(spark):
     assert all(r["lang"] == r["lang_pred"] for r in rows)
 
 
+def test_sample_is_bounded_and_whole(spark):
+    """One id, or few texts, over all rows; long texts are whole, and taken where there is no other."""
+    one_id = spark.range(3000).select(F.lit(7).alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"), F.lit("x").alias("lang"))
+    assert [len(v) for v in language.training_sample(one_id).values()] == [language.SAMPLE_PER_LANGUAGE]
+    same = spark.range(3000).select((F.col("id") % 3).alias("doc_id"), F.lit("same text").alias("text"), F.lit("x").alias("lang"))
+    assert language.training_sample(same) == {"x": ["same text"] * 3}
+    long = "long text " * 20_000
+    table = [(i, long if i % 2 else f"short {i}", lang) for i in range(30) for lang in ("a", "b") if lang == "a" or i % 2]
+    found = language.training_sample(spark.createDataFrame(table, "doc_id long, text string, lang string"), 15)
+    assert sorted(found["a"]) == sorted(f"short {i}" for i in range(0, 30, 2)) and found["b"] == [long] * 15
+
+
+def test_words_are_parted_alike_in_training_and_prediction(spark):
+    """Only ASCII white space parts words."""
+    text = {x: f"{x}a\u00a0{x}b\u3000{x}c\x1c{x}d\x85{x}e " * 30 for x in "pq"}
+    seen = []
+    original = language.word_features
+
+    def features(words):
+        seen.append(set(words))
+        return original(words)
+
+    language.word_features = features
+    try:
+        language.fit({x: [t] for x, t in text.items()})
+    finally:
+        language.word_features = original
+    assert seen[0] == {w.decode() for t in text.values() for w in language.byte_tokens(t.encode().split())}
+    assert any("\u00a0" in w for w in seen[0])
+
+
 def test_edges_and_filter(spark):
     _, _, model = trained(spark)
     docs = edges(spark)
