@@ -4,8 +4,9 @@
 written to Spark's ``noop`` sink, which computes all rows and columns. One earlier pass over
 the smallest data loads classes and compiles hot code.
 
-``BENCH_COMPARE=1`` adds the job in the shape of a plain script: the CSV scanned again for every
-table with inferred types, readable ids, and lookup joins for the fact.
+Rounds over all queries are repeated, three at most, as long as they fit into ``BENCH_SECONDS``; a query's best counts.
+``compare`` has the whole job staged once with hash keys against the shape of a plain script: the CSV scanned again for every
+table with inferred types, readable ids, and lookup joins for the fact. ``BENCH_COMPARE=0`` leaves it out.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from flakeform.plans.job import normalize_csv  # noqa: E402
 from flakeform.plans.normalize import SEQUENCE, normalize  # noqa: E402
 from flakeform.sources.csv import read_csv, write_csv  # noqa: E402
-from flakeform.sources.staging import new_folder  # noqa: E402
+from flakeform.sources.staging import new_folder, scratch  # noqa: E402
 from workload.queries import QUERIES, STAR  # noqa: E402
 from workload.visits import visits  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
+ROUNDS, SECONDS = 3, float(os.environ.get("BENCH_SECONDS", "420"))
 CPUS = os.environ.get("BENCH_CPUS", "8")
 WARM_DIR = str(Path(SF_DIR).parent / "sf0.001")
 HEADLINE = [
@@ -53,6 +55,9 @@ HEADLINE = [
     "constraint_report",
     "csv_to_fact",
     "load_and_read_back",
+    "one_pass_load",
+    "batch_load_and_read_back",
+    "csv_types",
     "normalize_roundtrip",
 ]
 
@@ -104,15 +109,23 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     for name in HEADLINE:
         consume(QUERIES[name](spark, WARM_DIR))
-    seconds = {name: timed(lambda name=name: consume(QUERIES[name](spark, SF_DIR))) for name in HEADLINE}
+    seconds: dict[str, float] = {}
+    began, rounds = time.perf_counter(), 0
+    while rounds < ROUNDS and (time.perf_counter() - began) * (rounds + 1) <= SECONDS * max(1, rounds):
+        for name in HEADLINE:
+            with scratch(spark):
+                took = timed(lambda name=name: consume(QUERIES[name](spark, SF_DIR)))
+            seconds[name] = min(took, seconds.get(name, took))
+        rounds += 1
     result = {
         "metric": "headline queries, total wall time",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
+        "rounds": rounds,
         "sf": Path(SF_DIR).name.removeprefix("sf"),
     }
-    if os.environ.get("BENCH_COMPARE") == "1":
+    if os.environ.get("BENCH_COMPARE") != "0":
         result["compare"] = compared(spark)
     print(json.dumps(result))
     spark.stop()

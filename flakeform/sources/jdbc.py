@@ -6,6 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from flakeform.operators.sequence import dense_sequence
+from flakeform.sources.staging import stage
 
 # Fixed value: concurrent connections of the append sink.
 WRITE_CONNECTIONS = 4
@@ -62,6 +66,20 @@ def key_ranges(column: str, bounds: Sequence[str]) -> list[str]:
     return conditions
 
 
+def key_bounds(df: DataFrame, column: str, slices: int) -> list[str]:
+    """Bounds for :func:`key_ranges` that part the rows of a loaded table into slices of equal size.
+
+    All keys are put in order in parallel and those at the slices' first places taken, so sizes are exact but for keys
+    that many rows share: a key is never split. ``slices - 1`` keys at most reach the driver. Keep the bounds of one batch
+    for the read-back of the next, or take them from the rows as they are loaded.
+    """
+    keys = df.select(F.col(column).cast("string").alias("_bound")).filter("_bound is not null")
+    placed = stage(dense_sequence(keys, ["_bound"], "_place"), "bounds")
+    rows = placed.count()
+    places = {place * rows // slices for place in range(1, slices)} - {0}
+    return sorted({row["_bound"] for row in placed.filter(F.col("_place").isin(list(places))).collect()}) if places else []
+
+
 def read_table(
     spark: SparkSession,
     database: Database,

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flakeform.sources.files import remove
+
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the session's checkpoint folder, or what ``spark.checkpoint.dir`` names.
@@ -26,7 +33,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """Path of a fresh, unused folder under the shared one."""
-    return f"{shared_dir(spark)}/flakeform/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/flakeform/{label}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, every intermediate table that was staged in it.
+
+    What the block returns must have been written or collected by then: a DataFrame that still reads staged rows loses them.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            remove(spark, path)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

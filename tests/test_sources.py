@@ -8,7 +8,9 @@ from flakeform import FLAT_SCHEMA, healthcare, normalize
 from flakeform.plans.job import migrate, normalize_csv
 from flakeform.sources import staging
 from flakeform.sources.csv import read_csv, write_csv
-from flakeform.sources.jdbc import Database, Slices, append_table, key_ranges, read_table
+from flakeform.sources.jdbc import Database, Slices, append_table, key_bounds, key_ranges, read_table
+from flakeform.sources.files import exists
+from flakeform.sources.staging import scratch, stage
 from flakeform.sources.tables import export_tables, load_tables, preview, read_parquet, write_parquet
 
 STAR = healthcare()
@@ -64,11 +66,11 @@ def test_csv_files_must_agree_on_their_columns(spark, tmp_path):
         read_csv(spark, str(tmp_path), schema).collect()
 
 
-def test_csv_keeps_spaces_and_line_breaks_on_request(spark, tmp_path):
+def test_csv_keeps_spaces_unless_asked_and_line_breaks_on_request(spark, tmp_path):
     df = spark.createDataFrame([("  x ", 'two\nlines, "quoted"'), ("y", None)], "a string, b string")
-    write_csv(df, str(tmp_path / "kept"), trim=False)
+    write_csv(df, str(tmp_path / "kept"))
     assert bag(read_csv(spark, str(tmp_path / "kept"), df.schema, multiline=True)) == bag(df)
-    write_csv(df.select("a"), str(tmp_path / "cut"))
+    write_csv(df.select("a"), str(tmp_path / "cut"), trim=True)
     assert bag(read_csv(spark, str(tmp_path / "cut"), df.select("a").schema)) == {("x",): 1, ("y",): 1}
 
 
@@ -196,3 +198,25 @@ def test_jdbc_append_caps_connections():
     options = df.write.format.return_value.options
     assert options.call_args.kwargs == {**DATABASE.options(), "dbtable": "FacVisit", "numPartitions": "4"}
     options.return_value.mode.assert_called_with("append")
+
+
+def test_bounds_give_slices_of_equal_size(spark):
+    keys = spark.createDataFrame([(f"k{i * 7919 % 1000:03}",) for i in range(1000)] + [(None,)] * 5 + [("k500",)] * 30, "k string")
+    bounds = key_bounds(keys.repartition(4), "k", 8)
+    conditions = key_ranges("k", bounds)
+    sizes = [keys.filter(condition).count() for condition in conditions]
+    assert len(sizes) == 8 and sum(sizes) == keys.count() and max(sizes) <= 2 * keys.count() / 8
+    assert key_bounds(keys.limit(0), "k", 8) == [] and len(key_bounds(keys.filter("k = 'k500'"), "k", 4)) == 1
+
+
+def test_scratch_removes_what_was_staged_in_it(spark):
+    kept = stage(spark.range(3), "kept")
+    with scratch(spark):
+        outer = stage(spark.range(4), "outer")
+        with scratch(spark):
+            inner = stage(spark.range(5), "inner")
+            assert inner.count() == 5
+        with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|FileNotFound"):
+            inner.collect()
+        assert outer.count() == 4
+    assert kept.count() == 3 and not exists(spark, outer.inputFiles()[0].rsplit("/", 1)[0])

@@ -601,6 +601,12 @@ def oracles() -> dict[str, str]:
             " CAST(billing_date AS VARCHAR) AS billing_date, billing_payment_status"
             f" FROM ({_natural(BILLING, 'billing_id')})"
         ),
+        "key_slices": _with_visits(
+            "SELECT CAST(slice AS INTEGER) AS slice, count(*) AS rows, min(visit_id) AS first_key, max(visit_id) AS last_key"
+            " FROM (SELECT visit_id, (SELECT count(*) FROM range(1, 16) b(k) WHERE (k * n) // 16 <= place) AS slice FROM placed)"
+            " GROUP BY slice",
+            placed="SELECT visit_id, row_number() OVER (ORDER BY visit_id) - 1 AS place, count(*) OVER () AS n FROM visits",
+        ),
         "preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 20",
         "normalize_roundtrip": _flat_again(readable=False),
         "normalize_roundtrip_sequence": _flat_again(readable=True),

@@ -30,6 +30,7 @@ from flakeform.plans.normalize import (
 from flakeform.plans.onepass import normalize_once
 from flakeform.plans.specs import Field, NaturalDim, Snowflake, TableSpec
 from flakeform.sources.csv import read_csv, read_inferred, write_csv
+from flakeform.sources.jdbc import key_bounds, key_ranges
 from flakeform.sources.staging import new_folder, stage
 from flakeform.sources.tables import export_tables, load_tables, preview, read_parquet
 from workload.visits import dirty_visits, table, visits
@@ -331,6 +332,17 @@ def export_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.csv(f"{folder}/csv/DimBilling", header=True)
 
 
+def key_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conditions that read a table back in 16 slices, tried on its rows: size, first and last key of each."""
+    keys = visits(spark, sf_dir, ["visit_id"])
+    conditions = key_ranges("visit_id", key_bounds(keys, "visit_id", 16))
+    met = F.array_compact(F.array(*[F.when(F.expr(rule), F.lit(place)) for place, rule in enumerate(conditions)]))
+    sliced = keys.withColumn("slice", F.explode(met))
+    return sliced.groupBy("slice").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("visit_id").alias("first_key"), F.max("visit_id").alias("last_key")
+    )
+
+
 def preview_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(table(spark, sf_dir, "customer").orderBy("c_custkey"))
 
@@ -464,6 +476,7 @@ QUERIES: dict[str, Query] = {
     "batch_fact": batch_fact,
     "batch_load_and_read_back": batch_load_and_read_back,
     "export_billing": export_billing,
+    "key_slices": key_slices,
     "preview": preview_customers,
     "normalize_roundtrip": partial(_roundtrip, HASH),
     "normalize_roundtrip_sequence": partial(_roundtrip, SEQUENCE),
