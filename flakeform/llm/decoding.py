@@ -39,6 +39,11 @@ _LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 #: Characters of inflated text that are scanned at once, and how many of them the next block repeats.
 BLOCK, OVERLAP = 1 << 22, 1 << 16
 
+#: What tokens and values are made of.
+_TOKEN_CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=%-"
+#: Rounds of escapes whose layers are each scanned; deeper ones are decoded at once.
+ROUNDS = 4
+
 Span = tuple[int, int, str]
 
 
@@ -60,11 +65,15 @@ class _Same:
 
 @dataclass(frozen=True)
 class Layer:
-    """A decoded text. Character i came from characters ``starts[i]`` up to ``ends[i]`` of the input."""
+    """A decoded text. Character i came from characters ``starts[i]`` up to ``ends[i]`` of the input.
+
+    ``depth``: rounds of escapes that were decoded in place since the text or token it began with.
+    """
 
     text: str
     starts: list[int] | range | _Same
     ends: list[int] | range | _Same
+    depth: int = 0
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
         if isinstance(self.starts, _Same):
@@ -82,26 +91,48 @@ def base_spans(text: str) -> list[Span]:
 
 
 def _readable(text: str) -> bool:
-    """Not mostly control characters."""
-    if text.isprintable():
+    """Not mostly control characters and bytes that are no text."""
+    if text.isprintable() and "\ufffd" not in text:
         return bool(text)
-    return 2 * sum(unicodedata.category(c) == "Cc" and c not in "\r\n\t" for c in text) < len(text)
+    odd = sum(c == "\ufffd" or unicodedata.category(c) == "Cc" and c not in "\r\n\t" for c in text)
+    return 2 * odd < len(text)
+
+
+def _encoding(head: bytes) -> str:
+    """UTF-16 where a byte order mark or the zero bytes of plain letters tell it, otherwise UTF-8."""
+    if head[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        return "utf-16-le" if head[0] == 0xFF else "utf-16-be"
+    some = head[:4096]
+    if len(some) >= 8:
+        for name, zeros, others in (("utf-16-le", some[1::2], some[::2]), ("utf-16-be", some[::2], some[1::2])):
+            if 4 * zeros.count(0) >= 3 * len(zeros) and others.count(0) * 4 <= len(others):
+                return name
+    return "utf-8"
 
 
 def _characters(data: bytes) -> tuple[str, list[int]] | None:
-    """Text of valid UTF-8 that is not mostly control characters, and the byte at which each character begins."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
+    """Text that is not mostly control characters, and the byte at which each character begins.
+
+    Bytes that are no text become U+FFFD each time, and do not keep the others from being read.
+    """
+    encoding = _encoding(data)
+    wide = encoding != "utf-8"
+    bad: dict[int, int] = {}
+
+    def note(error: UnicodeError) -> tuple[str, int]:
+        bad[error.start] = error.end
+        return "\ufffd", error.end
+
+    codecs.register_error("flakeform-note", note)
+    text = data.decode(encoding, "flakeform-note")
     if not _readable(text):
         return None
-    if text.isascii():
+    if not wide and text.isascii():
         return text, list(range(len(text) + 1))
     places, at = [], 0
     for c in text:
         places.append(at)
-        at += len(c.encode())
+        at = bad[at] if c == "\ufffd" and at in bad else at + len(c.encode(encoding))
     return text, [*places, at]
 
 
@@ -129,10 +160,10 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     if not at:
         return None
     copy(at, len(layer.text))
-    new = "".join(text)
+    new, depth = "".join(text), layer.depth + 1
     if same:
-        return Layer(new, _Same(layer.starts.value, len(new)), _Same(layer.ends.value, len(new)))
-    return Layer(new, starts, ends)
+        return Layer(new, _Same(layer.starts.value, len(new)), _Same(layer.ends.value, len(new)), depth)
+    return Layer(new, starts, ends, depth)
 
 
 def _url(token: str) -> tuple[str, list[int]] | None:
@@ -150,6 +181,53 @@ def _escape(token: str) -> tuple[str, list[int]] | None:
     return chr(code), [0, len(token)]
 
 
+def _first(text: str) -> tuple[str, int] | None:
+    """What the escape at the beginning of a text stands for, and its length; None if there is none."""
+    if text[0] != "%":
+        found = _UNICODE.match(text)
+        got = found and _escape(found[0])
+        return got and (got[0], found.end())
+    found = _URL.match(text)
+    data = bytes.fromhex(found[0].replace("%", "")) if found else b"\x80"
+    size = 1 if data[0] < 0x80 else 2 if data[0] < 0xE0 else 3 if data[0] < 0xF0 else 4
+    try:
+        char = data[:size].decode()
+    except UnicodeDecodeError:
+        return None
+    return (char, 3 * size) if _readable(char) else None
+
+
+def _settled(layer: Layer) -> Layer | None:
+    """The layer with every escape decoded in place, and what that gives decoded again, until none is left.
+
+    One pass from the end: what stands to the right of a character is settled already, so a decoded ``%`` or ``&`` is only
+    looked at with the few characters after it. The time is that of one layer, however deep escapes are nested.
+    """
+    same = isinstance(layer.starts, _Same)
+    chars: list[str] = []
+    starts: list[int] = []
+    ends: list[int] = []
+    changed = False
+    for i in range(len(layer.text) - 1, -1, -1):
+        chars.append(layer.text[i])
+        starts.append(layer.starts[i])
+        ends.append(layer.ends[i])
+        while chars[-1] in "%\\&" and (got := _first("".join(chars[:-13:-1]))):
+            new, used = got
+            a, b = min(starts[-used:]), max(ends[-used:])
+            del chars[-used:], starts[-used:], ends[-used:]
+            chars.append(new)
+            starts.append(a)
+            ends.append(b)
+            changed = True
+    if not changed:
+        return None
+    text = "".join(reversed(chars))
+    if same:
+        return Layer(text, _Same(layer.starts.value, len(text)), _Same(layer.ends.value, len(text)))
+    return Layer(text, starts[::-1], ends[::-1])
+
+
 class _Zlib:
     """zlib and gzip data with the interface of the other decompressors."""
 
@@ -243,19 +321,20 @@ def _inflated(data: bytes) -> Iterator[bytes] | None:
 
 
 def _texts(pieces: Iterator[bytes]) -> Iterator[str]:
-    """Readable text of UTF-8 pieces in overlapping blocks, up to the first invalid byte."""
-    decoder = codecs.getincrementaldecoder("utf-8")()
+    """Readable text of the pieces in overlapping blocks. A token that a block cuts is whole in the next one, if a block holds it."""
+    first = next(pieces, b"")
+    decoder = codecs.getincrementaldecoder(_encoding(first))("replace")
     held, new = "", 0
-    for piece in pieces:
-        try:
-            text = decoder.decode(piece)
-        except UnicodeDecodeError:
-            return
+    for piece in itertools.chain([first], pieces):
+        text = decoder.decode(piece)
         held, new = held + text, new + len(text)
         while len(held) >= BLOCK:
             if _readable(held[:BLOCK]):
                 yield held[:BLOCK]
-            held, new = held[BLOCK - OVERLAP :], len(held) - BLOCK
+            begin = len(held[:BLOCK].rstrip(_TOKEN_CHARACTERS)) or BLOCK
+            held, new = held[min(begin, BLOCK - OVERLAP) :], len(held) - BLOCK
+    text = decoder.decode(b"", True)
+    held, new = held + text, new + len(text)
     if new and _readable(held):
         yield held
 
@@ -337,7 +416,8 @@ def all_spans(text: str, base: list[Span] | None = None) -> list[Span]:
 
     A worklist of layers: each is scanned, then its URL escapes, Unicode escapes and base64 tokens
     (compressed ones inflated, in overlapping blocks of ``BLOCK`` characters) give further layers. A layer seen before, at the same origin, is not
-    entered again, so the list runs dry: every step makes the text shorter or inflates it once.
+    entered again, so the list runs dry: every step makes the text shorter or inflates it once. Escapes nested deeper than
+    ``ROUNDS`` are decoded to the end in one pass, whose result is scanned; so time does not grow with their depth.
     """
     found = set(base_spans(text) if base is None else base)
     seen: set[bytes] = set()
@@ -354,10 +434,14 @@ def all_spans(text: str, base: list[Span] | None = None) -> list[Span]:
         seen.add(key)
         if len(seen) > 1:
             found |= {(*layer.origin(start, end), kind) for start, end, kind in base_spans(layer.text)}
-        if "%" in layer.text and (new := _replaced(layer, _URL, _url)):
-            work.append(iter([new]))
-        if ("\\" in layer.text or "&#" in layer.text) and (new := _replaced(layer, _UNICODE, _escape)):
-            work.append(iter([new]))
+        if layer.depth >= ROUNDS:
+            if new := _settled(layer):
+                work.append(iter([new]))
+        else:
+            if "%" in layer.text and (new := _replaced(layer, _URL, _url)):
+                work.append(iter([new]))
+            if ("\\" in layer.text or "&#" in layer.text) and (new := _replaced(layer, _UNICODE, _escape)):
+                work.append(iter([new]))
         work.append(_tokens(layer))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 

@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import lzma
 import re
+import time
 import zlib
 from urllib.parse import quote
 
@@ -122,6 +123,56 @@ def test_spans_are_exact_inside_a_layer():
     assert (6 * 3, 6 * (3 + len(SECRET)), "assign") in all_spans(token)
 
 
+@pytest.mark.parametrize("deep", ["%" + "25" * 150_000 + "41", "&#38;" + "#38;" * 75_000, "\\u005c" + "u005c" * 50_000, "%25" * 100_000])
+def test_deep_escapes_take_the_time_of_a_few_layers(deep):
+    began = time.process_time()
+    assert all_spans(f"{deep} {SECRET}")
+    assert time.process_time() - began < 20  # seconds on a slow machine; a scan for every depth would take hours
+
+
+def test_secrets_under_deep_escapes_map_back():
+    for _ in range(2):
+        token = SECRET.replace("p", "%" + "25" * 40 + "70", 1).replace("=", "&#38;#38;#38;#38;#38;#38;#38;#61;")
+        text = f"some é words {token} and more"
+        start = text.index(token)
+        assert (start, start + len(token), "assign") in all_spans(text)
+
+
+@pytest.mark.parametrize("noise", [b"\xff", b"\xc3", b"\xe2\x82", b"\x80\x80"])
+def test_bytes_that_are_no_text_hide_nothing(noise):
+    data = b"some words " + noise + b" and " + SECRET.encode() + b" after"
+    token = base64.b64encode(data).decode()
+    place = 5 + (data.index(SECRET.encode()) * 4) // 3
+    found = [s for s in all_spans(f"text {token} end") if s[2] == "assign"]
+    assert found and abs(found[0][0] - place) <= 3 and found[0][1] < 5 + len(token)
+    assert assigned(base64.b64encode(gzip.compress(data)).decode())
+    escaped = "".join(f"%{b:02X}" for b in data)
+    at = 3 * data.index(SECRET.encode())
+    assert (at, at + 3 * len(SECRET), "assign") in all_spans(escaped)
+    assert not all_spans(base64.b64encode(bytes(range(128, 256)) * 3).decode() + " x")
+
+
+@pytest.mark.parametrize("encoding", ["utf-16", "utf-16-le", "utf-16-be"])
+def test_wide_text(encoding):
+    data = f"Some words and {SECRET} 🙂 after".encode(encoding)
+    assert [k for *_, k in all_spans(base64.b64encode(data).decode())] == ["assign"]
+    assert assigned(base64.b64encode(gzip.compress(data)).decode())
+
+
+def test_a_long_token_that_a_block_cuts(monkeypatch):
+    from flakeform.llm import decoding
+
+    monkeypatch.setattr(decoding, "BLOCK", 1 << 16)
+    monkeypatch.setattr(decoding, "OVERLAP", 1 << 8)
+    noise = "".join(hashlib.sha256(bytes([i % 256, i >> 8])).hexdigest() + "\n" for i in range(400))
+    token = base64.b64encode(f"{noise} {SECRET} {noise}".encode()).decode()
+    assert 1 << 15 < len(token) < 1 << 17
+    long = base64.b64encode(zlib.compress(noise.encode() * 3 + SECRET.encode())).decode()
+    for before in (10, 40_000, 65_000):
+        data = ". " * (before // 2) + long + " ." * 60_000
+        assert assigned(base64.b64encode(gzip.compress(data.encode())).decode())
+
+
 def test_fixpoint_ends_on_odd_input():
     for text in ("%25" * 2000, "%2525252525", "QUFB" * 500, "\\u005cu005cu005c", "&#38;#38;#38;", base64.b64encode(b"x" * 20).decode() * 3, "%", "\\u", "&#"):
         assert all_spans(text) is not None
