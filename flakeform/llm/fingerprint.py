@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flakeform.operators.lookup import lookup
 from flakeform.operators.sequence import dense_sequence
+from flakeform.sources.staging import stage
 
 #: A paragraph ends after a line break or a sentence; every character belongs to one paragraph.
 PARAGRAPH_END = r"(?<=\n)|(?<=[.!?] )"
 #: 64-bit words of narrow lanes (four lanes of 14 bits each), and of wide lanes (62 bits each).
 NARROW, WIDE = 32, 2
-#: Documents that one bucket of neighbours holds, if ids are spread evenly.
-BUCKET_ROWS = 256
+#: Documents that one bucket of neighbours holds; one with four times as many is cut again, so often at most.
+BUCKET_ROWS, MOST_CUTS = 256, 16
 _LANES = 0x3FFF3FFF3FFF3FFF
 _BITS = 0x0001000100010001
 _WIDE_MASK = (1 << 62) - 1
@@ -109,35 +111,64 @@ def likeness(left: Column, right: Column) -> Column:
     return F.when(left == right, F.lit(1.0)).when(total == 0, F.lit(1.0)).otherwise(near)
 
 
-def with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Add ``next_text`` of the row with the next larger id (after the last: of the first).
+def _bucketed(rows: DataFrame, bucket_rows: int) -> tuple[DataFrame, list[str]]:
+    """Deal rows with ``doc_id`` and ``code`` to buckets in their order: the rows with columns that order the buckets, and these columns.
 
-    Null ids come first, rows with equal ids by their text. Rows are dealt to buckets of equal id
-    ranges; the first row of each bucket is also sent to the bucket before it, so one shuffle of the
-    texts is enough and no task sees more than a bucket. Uneven ids make uneven buckets, no more.
-    Returns ``doc_id``, ``text`` (empty for null) and ``next_text``.
+    Buckets are ranges of ids of equal width at first. One that holds too many rows is cut again over the ids it has, until
+    such a bucket has one id only, as one far id or many near ones ask for; and then by ranges of the text's hash, as
+    null ids and repeated ones do. Only buckets with too many rows are looked up, by their measured size.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
     if low is None:
         low = high = 0
+    wide = "decimal(20,0)"
     width = max(1, -(-(high - low + 1) * bucket_rows // max(1, n)))
-    bucket = F.coalesce(F.floor((F.col("doc_id").cast("decimal(20,0)") - F.lit(low)) / F.lit(width)), F.lit(-1))
-    rows = rows.withColumn("bucket", bucket.cast("long"))
-    order = F.struct(F.col("doc_id"), F.col("text"))
-    firsts = rows.groupBy("bucket").agg(F.min(order).alias("first"))
-    numbered = dense_sequence(firsts.select("bucket"), ["bucket"], "place")
+    first = F.coalesce(F.floor((F.col("doc_id").cast(wide) - F.lit(low)) / F.lit(width)), F.lit(-1)).cast("long")
+    rows, names = rows.withColumn("b0", first), ["b0"]
+    full = F.col("n") > 4 * bucket_rows
+    pieces = F.ceil(F.col("n") / bucket_rows)
+    while True:
+        found = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+        crowded = stage(found.filter(full), "crowded")
+        mixed = crowded.filter("high > low")
+        if len(names) == MOST_CUTS or mixed.isEmpty():
+            break
+        name = f"b{len(names)}"
+        span = F.col("high").cast(wide) - F.col("low").cast(wide) + 1
+        cuts = stage(mixed.select(*names, F.col("low").alias("_low"), F.ceil(span / pieces).cast(wide).alias("_step")), "cuts")
+        place = F.floor((F.col("doc_id").cast(wide) - F.col("_low")) / F.col("_step")).cast("long")
+        rows = lookup(rows, cuts, names, ["_low", "_step"]).withColumn(name, F.coalesce(place, F.lit(0).cast("long"))).drop("_low", "_step")
+        names = [*names, name]
+    same = crowded.filter("low is null or low = high")
+    if not same.isEmpty():
+        cuts = stage(same.select(*names, pieces.cast("double").alias("_pieces")), "cuts")
+        share = F.col("code").cast("double") / F.lit(2.0**64) + 0.5
+        place = F.least(F.floor(share * F.col("_pieces")), F.col("_pieces") - 1).cast("long")
+        rows = lookup(rows, cuts, names, ["_pieces"]).withColumn("bcode", F.coalesce(place, F.lit(0).cast("long"))).drop("_pieces")
+        names = [*names, "bcode"]
+    return rows, names
+
+
+def with_next(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Add ``next_text`` of the row with the next larger id (after the last: of the first).
+
+    Null ids come first, rows with equal ids by a hash of their text. Rows are dealt to buckets, ranges of that order with
+    a bounded number of rows, whatever the ids are (only rows equal in id and text are never parted); the first
+    row of each bucket is also sent to the bucket before it, so one shuffle of the texts is enough and no task sees
+    more than a bucket. Returns ``doc_id``, ``text`` (empty for null) and ``next_text``.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    rows = docs.select(F.col("doc_id").cast("long"), text).withColumn("code", F.xxhash64("text"))
+    rows, names = _bucketed(rows, bucket_rows)
+    firsts = rows.groupBy(*names).agg(F.min(F.struct("doc_id", "code", "text")).alias("first"))
+    numbered = dense_sequence(firsts.select(*names), names, "place")
     buckets = numbered.count()
     before = numbered.select(
-        F.col("bucket").alias("to"), ((F.col("place") + 1) % F.lit(max(1, buckets))).alias("place")
-    )
-    ghosts = (
-        numbered.join(before, "place")
-        .join(firsts, "bucket")
-        .select(F.col("first.doc_id").alias("doc_id"), F.col("first.text").alias("text"), F.col("to").alias("bucket"))
+        *[F.col(name).alias(f"to_{name}") for name in names], ((F.col("place") + 1) % F.lit(max(1, buckets))).alias("place")
     )
+    ghosts = numbered.join(before, "place").join(firsts, names).select("first.*", *[F.col(f"to_{name}").alias(name) for name in names])
     everything = rows.withColumn("ghost", F.lit(False)).unionByName(ghosts.withColumn("ghost", F.lit(True)))
-    by_id = Window.partitionBy("bucket").orderBy("ghost", "doc_id", "text")
+    by_id = Window.partitionBy(*names).orderBy("ghost", "doc_id", "code", "text")
     return (
         everything.withColumn("next_text", F.lead("text").over(by_id))
         .filter(~F.col("ghost"))

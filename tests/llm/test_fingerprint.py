@@ -12,12 +12,18 @@ def key(row):
     return (row[0] is not None, row[0] or 0, row[1])
 
 
+def followed(docs):
+    """(doc_id, text, next text) by one sort: nulls first, equal ids by the hash of their text."""
+    coded = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("code", F.xxhash64("text"))
+    rows = sorted(map(tuple, coded.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[2], r[1]))
+    return [(d, t, rows[(i + 1) % len(rows)][1]) for i, (d, t, _) in enumerate(rows)]
+
+
 @pytest.mark.parametrize("bucket_rows", [1, 7, 1000])
 @pytest.mark.parametrize("make", [edges, sources])
 def test_neighbours_and_edits(spark, make, bucket_rows):
     docs = make(spark)
-    rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()), key=key)
-    want = [(d, t, rows[(i + 1) % len(rows)][1]) for i, (d, t) in enumerate(rows)]
+    want = followed(docs)
     got = fp.with_next(docs, bucket_rows).withColumn("edited", fp.edited(F.col("text"), F.col("next_text"))).collect()
     assert sorted(((r["doc_id"], r["text"], r["next_text"]) for r in got), key=lambda r: (*key(r), r[2])) == sorted(want, key=lambda r: (*key(r), r[2]))
     for r in got:
@@ -33,6 +39,23 @@ def test_uneven_ids(spark):
     assert got == {f"t{a}": f"t{b}" for a, b in zip(ids, [*ids[1:], ids[0]], strict=True)}
 
 
+@pytest.mark.parametrize("ids", ["one far", "null", "one", "half", "squares"])
+def test_no_bucket_holds_the_table(spark, ids):
+    i = F.col("id")
+    rule = {
+        "one far": F.when(i == 0, F.lit(1 << 60)).otherwise(i),
+        "null": F.lit(None).cast("long"),
+        "one": F.lit(7).cast("long"),
+        "half": F.when(i % 2 == 0, F.lit(-5).cast("long")).otherwise(i * 1000),
+        "squares": F.pow(F.lit(1.02), i).cast("long"),
+    }[ids]
+    docs = spark.range(2000).select(rule.alias("doc_id"), F.concat(F.lit("text "), i).alias("text")).repartition(5)
+    rows, names = fp._bucketed(docs.withColumn("code", F.xxhash64("text")), 16)
+    assert rows.groupBy(*names).count().agg(F.max("count")).first()[0] <= 64
+    order = lambda r: (*key(r), r[2])
+    assert sorted(map(tuple, fp.with_next(docs, 16).collect()), key=order) == sorted(followed(docs), key=order)
+
+
 def prints(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", fp.fingerprint(F.col("text")).alias("p"))
     return [r["p"] for r in df.orderBy("i").collect()]
