@@ -169,8 +169,7 @@ def train(statistics: DataFrame, mass: np.ndarray) -> np.ndarray:
 
 
 def _totals(values: np.ndarray, starts: np.ndarray, run: np.ndarray) -> np.ndarray:
-    total = np.add.reduceat((values >> np.uint64(8)).astype(np.int64), starts)
-    return np.minimum(total, (1 << 32) - 1).astype(np.uint32)[run]
+    return np.add.reduceat(values >> np.uint64(8), starts)[run]
 
 
 def _summary(keys: np.ndarray, values: np.ndarray, starts: np.ndarray) -> bytes:
@@ -260,7 +259,7 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
             return pa.table({n: pa.array([], t) for n, t in zip(names, types, strict=True)})
         words = words_of(left)
         keys, inverse = np.unique(words.hashes, return_inverse=True)
-        seen = answers(right, keys, bits, np.uint32)[inverse].astype(np.float64)
+        seen = answers(right, keys, bits, np.uint64)[inverse].astype(np.float64)
         owner, n = words.owner, left.num_rows
         logs = np.bincount(owner, np.log10(seen + 1), n) + np.log10(ends + 1)
         context, word_class, text = contexts(words, known)
