@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from typing import Any
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -140,48 +137,12 @@ LOCATION_CODE_THRESHOLD = 4
 PROVIDER_SEQUENCE_WIDTH = 6
 
 
-def _columns(group: str) -> list[str]:
-    return list(FLAT_GROUPS[group])
-
-
-def _fields(names: Iterable[str]) -> tuple[Field, ...]:
+def _fields(*groups: str, key: tuple[str, ...] = ()) -> tuple[Field, ...]:
+    """Fields for columns in order: those of ``key`` first, then the groups' others."""
+    names = [*key, *[name for group in groups for name in FLAT_GROUPS[group] if name not in key]]
     return tuple(Field(name, CASTS.get(name)) for name in names)
 
 
-def _table_name(group: str) -> str:
-    return "Dim" + group.title().replace("_", "")
-
-
-def _reference(group: str) -> ForeignKey:
-    key = f"{group}_id"
-    return ForeignKey(key, _table_name(group), key)
-
-
-def _natural(group: str, parent: str | None = None, **options: Any) -> NaturalDim:
-    """Dimension with a key of its own, followed by the key of its parent, if it has one."""
-    parents = () if parent is None else (_reference(parent),)
-    key, *attributes = _columns(group)
-    return NaturalDim(
-        name=_table_name(group),
-        primary_key=key,
-        fields=_fields([key, *[edge.column for edge in parents], *attributes]),
-        foreign_keys=parents,
-        recency="visit_datetime",
-        tie_breaker="visit_id",
-        **options,
-    )
-
-
-def _surrogate(group: str, key: KeyRule, **options: Any) -> SurrogateDim:
-    return SurrogateDim(
-        name=_table_name(group),
-        primary_key=f"{group}_id",
-        fields=_fields(_columns(group)),
-        key=key,
-        **options,
-    )
-
-
 def provider_prefix(threshold: int = PROVIDER_CODE_THRESHOLD) -> Column:
     code = reduced_code(initials(F.col("doctor_department")), threshold)
     return F.concat(code, F.col("doctor_title"))
@@ -192,16 +153,10 @@ def location_prefix(threshold: int = LOCATION_CODE_THRESHOLD) -> Column:
     return F.concat(code, F.col("room_number").cast("string"))
 
 
-def diagnosis_prefix(group: str) -> Column:
-    code, description = _columns(group)
+def diagnosis_prefix(code: str, description: str) -> Column:
     return F.concat(F.col(code), text_length(F.col(description)).cast("string"))
 
 
-def _diagnosis(group: str) -> SurrogateDim:
-    """Only coded diagnoses get a row."""
-    return _surrogate(group, KeyRule(lambda: diagnosis_prefix(group)), required=(f"{group}_code",))
-
-
 def healthcare(
     status_cutoff: str = DEFAULT_CUTOFF,
     provider_threshold: int = PROVIDER_CODE_THRESHOLD,
@@ -209,28 +164,119 @@ def healthcare(
     unique_locations: bool = False,
 ) -> Snowflake:
     """``unique_locations`` tells readable location ids apart that clinics with equal initials and room share."""
-    provider_key = KeyRule(lambda: provider_prefix(provider_threshold), pad=PROVIDER_SEQUENCE_WIDTH)
-    location_key = KeyRule(lambda: location_prefix(location_threshold), numbered=False, unique=unique_locations)
+    latest = {"recency": "visit_datetime", "tie_breaker": "visit_id"}
     dims = (
-        _natural("patient", status=StatusRule("patient_status", status_cutoff), one_char_text=True),
-        _natural("insurance", parent="patient"),
-        _natural("billing", parent="insurance"),
-        _surrogate("provider", provider_key),
-        _surrogate("location", location_key),
-        _diagnosis("primary_diagnosis"),
-        _diagnosis("secondary_diagnosis"),
-        _surrogate("treatment", KeyRule(lambda: F.col("treatment_code"))),
-        _natural("prescription", drop_empty=True),
-        _natural("lab_order", drop_empty=True),
+        NaturalDim(
+            name="DimPatient",
+            primary_key="patient_id",
+            fields=_fields("patient"),
+            status=StatusRule("patient_status", status_cutoff),
+            one_char_text=True,
+            **latest,
+        ),
+        NaturalDim(
+            name="DimInsurance",
+            primary_key="insurance_id",
+            fields=_fields("insurance", key=("insurance_id", "patient_id")),
+            foreign_keys=(ForeignKey("patient_id", "DimPatient", "patient_id"),),
+            **latest,
+        ),
+        NaturalDim(
+            name="DimBilling",
+            primary_key="billing_id",
+            fields=_fields("billing", key=("billing_id", "insurance_id")),
+            foreign_keys=(ForeignKey("insurance_id", "DimInsurance", "insurance_id"),),
+            **latest,
+        ),
+        SurrogateDim(
+            name="DimProvider",
+            primary_key="provider_id",
+            fields=_fields("provider"),
+            key=KeyRule(lambda: provider_prefix(provider_threshold), pad=PROVIDER_SEQUENCE_WIDTH),
+        ),
+        SurrogateDim(
+            name="DimLocation",
+            primary_key="location_id",
+            fields=_fields("location"),
+            key=KeyRule(lambda: location_prefix(location_threshold), numbered=False, unique=unique_locations),
+        ),
+        # Only coded diagnoses get a row.
+        SurrogateDim(
+            name="DimPrimaryDiagnosis",
+            primary_key="primary_diagnosis_id",
+            fields=_fields("primary_diagnosis"),
+            key=KeyRule(lambda: diagnosis_prefix("primary_diagnosis_code", "primary_diagnosis_desc")),
+            required=("primary_diagnosis_code",),
+        ),
+        SurrogateDim(
+            name="DimSecondaryDiagnosis",
+            primary_key="secondary_diagnosis_id",
+            fields=_fields("secondary_diagnosis"),
+            key=KeyRule(lambda: diagnosis_prefix("secondary_diagnosis_code", "secondary_diagnosis_desc")),
+            required=("secondary_diagnosis_code",),
+        ),
+        SurrogateDim(
+            name="DimTreatment",
+            primary_key="treatment_id",
+            fields=_fields("treatment"),
+            key=KeyRule(lambda: F.col("treatment_code")),
+        ),
+        NaturalDim(
+            name="DimPrescription",
+            primary_key="prescription_id",
+            fields=_fields("prescription"),
+            drop_empty=True,
+            **latest,
+        ),
+        NaturalDim(
+            name="DimLabOrder",
+            primary_key="lab_order_id",
+            fields=_fields("lab_order"),
+            drop_empty=True,
+            **latest,
+        ),
     )
-    visit_id, *attributes = _columns("visit")
-    keys = [dim.primary_key for dim in dims]
-    brought = [dim.primary_key for dim in dims if isinstance(dim, NaturalDim)]
     fact = Fact(
         name="FacVisit",
-        primary_key=visit_id,
-        fields=_fields([visit_id, *brought, *attributes]),
-        foreign_keys=tuple(_reference(key.removesuffix("_id")) for key in keys),
-        columns=(visit_id, *keys, *attributes),
+        primary_key="visit_id",
+        fields=_fields(
+            key=(
+                "visit_id",
+                "patient_id",
+                "insurance_id",
+                "billing_id",
+                "prescription_id",
+                "lab_order_id",
+                "visit_datetime",
+                "visit_type",
+            )
+        ),
+        foreign_keys=(
+            ForeignKey("patient_id", "DimPatient", "patient_id"),
+            ForeignKey("insurance_id", "DimInsurance", "insurance_id"),
+            ForeignKey("billing_id", "DimBilling", "billing_id"),
+            ForeignKey("provider_id", "DimProvider", "provider_id"),
+            ForeignKey("location_id", "DimLocation", "location_id"),
+            ForeignKey("primary_diagnosis_id", "DimPrimaryDiagnosis", "primary_diagnosis_id"),
+            ForeignKey("secondary_diagnosis_id", "DimSecondaryDiagnosis", "secondary_diagnosis_id"),
+            ForeignKey("treatment_id", "DimTreatment", "treatment_id"),
+            ForeignKey("prescription_id", "DimPrescription", "prescription_id"),
+            ForeignKey("lab_order_id", "DimLabOrder", "lab_order_id"),
+        ),
+        columns=(
+            "visit_id",
+            "patient_id",
+            "insurance_id",
+            "billing_id",
+            "provider_id",
+            "location_id",
+            "primary_diagnosis_id",
+            "secondary_diagnosis_id",
+            "treatment_id",
+            "prescription_id",
+            "lab_order_id",
+            "visit_datetime",
+            "visit_type",
+        ),
     )
     return Snowflake(dims, fact)

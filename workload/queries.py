@@ -32,7 +32,7 @@ from flakeform.plans.specs import Field, NaturalDim, Snowflake, TableSpec
 from flakeform.sources.csv import read_csv, read_inferred, write_csv
 from flakeform.sources.jdbc import key_bounds, key_ranges
 from flakeform.sources.staging import new_folder, stage
-from flakeform.sources.tables import export_tables, load_tables, preview, read_parquet
+from flakeform.sources.tables import export_tables, preview, read_parquet
 from workload.visits import dirty_visits, table, visits
 
 # The driver's dates run from 1995 to 2001, so this cutoff splits them.
@@ -158,11 +158,12 @@ def dim_hash_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every surrogate dimension's ids with all parts of the natural key, as text."""
     longest = max(len(spec.natural_key) for spec in STAR.surrogate_dims)
     parts = []
+    flat = stage(visits(spark, sf_dir, [name for spec in STAR.surrogate_dims for name in spec.natural_key]), "visits")
     for spec in STAR.surrogate_dims:
         columns = [F.col(name).cast("string") for name in spec.natural_key]
         columns += [F.lit(None).cast("string")] * (longest - len(columns))
         parts.append(
-            _dim(spec.name, HASH, spark, sf_dir).select(
+            surrogate_dim(flat, spec).select(
                 F.lit(spec.name).alias("table"),
                 F.col(spec.primary_key).alias("id"),
                 *[column.alias(f"part{i}") for i, column in enumerate(columns)],
@@ -324,12 +325,12 @@ def export_and_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loaded tables exported as CSV in key order; the billing file read back as plain text."""
-    flat = stage(visits(spark, sf_dir), "visits")
-    folder = new_folder(spark, "loaded")
-    load_tables(normalize(flat, STAR), STAR, lambda df, name: df.write.parquet(f"{folder}/{name}"))
-    export_tables(lambda name: spark.read.parquet(f"{folder}/{name}"), STAR, f"{folder}/csv", ordered=True)
-    return spark.read.csv(f"{folder}/csv/DimBilling", header=True)
+    """The billing table loaded, exported as CSV in key order, and read back as plain text."""
+    spec = STAR.table("DimBilling")
+    billing = stage(_dim(spec.name, HASH, spark, sf_dir), "loaded")
+    path = new_folder(spark, "billing-csv")
+    write_csv(billing, path, order_by=spec.primary_key)
+    return spark.read.csv(path, header=True)
 
 
 def key_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
