@@ -39,14 +39,16 @@ class KeyRegistry:
         stored = self.table.read()
         return batch if stored is None else batch.join(stored.select(KEY).hint("merge"), KEY, "left_anti")
 
-    def register(self, rows: DataFrame) -> DataFrame:
-        """Give the rows' natural keys their numbers and return all keys, as :meth:`read` does."""
+    def numbered_keys(self, rows: DataFrame) -> DataFrame:
+        """The new keys of :meth:`new_keys` with the numbers that :meth:`register` gives them, staged."""
         stored = self.table.read()
         start = 0 if stored is None else stored.agg(F.coalesce(F.max("number") + 1, F.lit(0)).alias("n")).first()["n"]
         fresh = dense_sequence(self.new_keys(rows), [*self.keys, KEY], "number")
-        numbered = fresh.select(
-            KEY, *self.keys, (F.col("number") + start).alias("number"), F.lit(self.table.version + 1).alias("since")
-        )
+        return fresh.select(KEY, *self.keys, (F.col("number") + start).alias("number"), F.lit(self.table.version + 1).alias("since"))
+
+    def register(self, rows: DataFrame) -> DataFrame:
+        """Give the rows' natural keys their numbers and return all keys, as :meth:`read` does."""
+        stored, numbered = self.table.read(), self.numbered_keys(rows)
         if stored is None or not numbered.isEmpty():
             names = [*self.keys, "number", "since"]
             both = self.table.merge(numbered)

@@ -595,6 +595,7 @@ def oracles() -> dict[str, str]:
             _fact_joined("=", lambda table: _numbered(table) if table == "DimLocation" else _numbered_in_batches(table))
         ),
         "batch_load_and_read_back": _loaded(),
+        "batch_constraint_report": _constraints(),
         "export_billing": _with_visits(
             "SELECT billing_id, insurance_id, CAST(billing_total_charge AS VARCHAR) AS billing_total_charge,"
             " CAST(billing_amount_paid AS VARCHAR) AS billing_amount_paid,"

@@ -396,8 +396,8 @@ def batch_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
-def _loaded_in_batches(spark: SparkSession, sf_dir: str, keys: str) -> Batches:
-    batches = Batches(spark, STAR, new_folder(spark, "batches"), keys)
+def _loaded_in_batches(spark: SparkSession, sf_dir: str, keys: str, checks: bool = False) -> Batches:
+    batches = Batches(spark, STAR, new_folder(spark, "batches"), keys, checks=checks)
     for number, rows in enumerate(_two_batches(stage(visits(spark, sf_dir), "visits")), 1):
         batches.load(rows, str(number))
     return batches
@@ -413,6 +413,11 @@ def batch_load_and_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digests(_loaded_in_batches(spark, sf_dir, HASH).tables())
 
 
+def batch_constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole schema's constraints after two batches, from stored key counts."""
+    return _loaded_in_batches(spark, sf_dir, HASH, checks=True).report()
+
+
 DIM_QUERIES = {
     "dim_patient": "DimPatient",
     "dim_insurance": "DimInsurance",
@@ -476,6 +481,7 @@ QUERIES: dict[str, Query] = {
     "batch_keys": batch_keys,
     "batch_fact": batch_fact,
     "batch_load_and_read_back": batch_load_and_read_back,
+    "batch_constraint_report": batch_constraint_report,
     "export_billing": export_billing,
     "key_slices": key_slices,
     "preview": preview_customers,
