@@ -287,7 +287,9 @@ def _document_scores(model: Model, batch: list[bytes], cache: dict[bytes, int],
     return total
 
 
-def identify(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+def identify(
+    docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score"), text: str = "text"
+) -> DataFrame:
     """The input with ``lang_pred`` and ``score`` (0 to 1) added, or under other ``names``, from the whole text of each row.
 
     Every word gets label probabilities by forward-backward along its line (cut into chains of
@@ -303,10 +305,10 @@ def identify(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred
         release_kept()
         model, cache, table = shared.value, {}, []
         for batch in batches:
-            text = texts(batch)
-            total = _document_scores(model, text, cache, table) if model.languages else np.zeros((len(text), 1))
+            given = texts(batch, text)
+            total = _document_scores(model, given, cache, table) if model.languages else np.zeros((len(given), 1))
             found, scores = [], []
-            for raw, row in zip(text, total, strict=True):
+            for raw, row in zip(given, total, strict=True):
                 if not model.languages or not row[-1] or not _LETTER.search(raw.decode("utf-8", "replace")):
                     found.append(UNDETERMINED)
                     scores.append(0.0)
@@ -328,7 +330,8 @@ def identify(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred
 
 def known_language(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
     """Documents whose language is told with at least ``min_score``, with the columns of the input, whatever their names."""
-    names = ("_told_language", "_told_score")
-    row = docs.select("text", F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"))
-    found = identify(row, model, names)
-    return found.filter((F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= min_score)).select("_row.*")
+    names, given = ("_told_language", "_told_score"), [f"_given{place}" for place in range(len(docs.columns))]
+    renamed = docs.select(*[F.col(f"`{old}`").alias(new) for old, new in zip(docs.columns, given, strict=True)])
+    found = identify(renamed, model, names, given[docs.columns.index("text")])
+    kept = found.filter((F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= min_score))
+    return kept.select(*[F.col(new).alias(old) for old, new in zip(docs.columns, given, strict=True)])
