@@ -76,6 +76,22 @@ def test_wide_components_are_exact(spark):
     assert found(spark, rows) == plain(rows) != []
 
 
+def _ended(rows):
+    least, most = -(1 << 63), (1 << 63) - 1
+    return sorted([(*r[:4], min(max(r[4], least), most), min(max(r[5], least), most)) for r in rows], key=str)
+
+
+@pytest.mark.parametrize("cell", [(2048, 8192), (7, 20)])
+@pytest.mark.parametrize("scale", [1e15, 1e18, 1e25])
+def test_scores_beyond_a_long_are_judged_exactly(spark, monkeypatch, cell, scale):
+    monkeypatch.setattr(negatives, "ANCHORS", cell[0])
+    monkeypatch.setattr(negatives, "CANDIDATES", cell[1])
+    rows = [(i, [float(np.float32(x * (scale if i % 3 else 1))) for x in v], label) for i, v, label in table(60, 5)]
+    want = plain(rows)
+    assert any(abs(r[4]) >= 1 << 63 for r in want)
+    assert found(spark, rows) == _ended(want)
+
+
 def test_clashing_columns(spark):
     df = spark.createDataFrame(table(60, 4), SCHEMA).withColumns({c: F.lit("z") for c in ("row", "id", "x", "anchor", "place", "score")})
     got = hard_negatives(df.coalesce(1), F.col("vec_id") % 3 == 0)
