@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flakeform.operators.clean import drop_empty_rows, fill_default, on_or_before, project, require, up_to_midnight
 from flakeform.operators.dedup import distinct_rows, first_per_key, latest_first
+from flakeform.operators.lookup import lookup, lookups
 from flakeform.operators.status import attach_status, entity_status
 from flakeform.plans.specs import Field
 
@@ -101,3 +102,23 @@ def test_status_of_entities_without_events(spark):
         ("b", "inactive"): 1,
         (None, "inactive"): 2,
     }
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_several_lookups_at_once_equal_one_after_another(spark, limit):
+    rows = [(i % 7 or None, "b" if i % 2 else None, f"v{i // 2}") for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b string, v string").coalesce(2)
+    one = spark.createDataFrame([(i, f"one{i}") for i in range(5)], "a int, one string")
+    two = spark.createDataFrame([("b", "two"), ("c", None)], "b string, two string")
+    chained = lookup(lookup(df, one, ["a"], ["one"]), two, ["b"], ["two"])
+    numbered = df.withColumn("n", F.monotonically_increasing_id())
+    found = lookups(numbered, "n", [(one, "a", ["one"]), (two, "b", ["two"])], broadcast_bytes=limit)
+    assert found.columns == ["a", "b", "v", "n", "one", "two"]
+    assert bag(found.drop("n")) == bag(chained)
+
+
+def test_found_columns_are_not_shuffled_by_later_keys(spark):
+    df = spark.createDataFrame([(i, i % 5, "x") for i in range(50)], "n long, k int, wide string")
+    dims = [(spark.range(5).select(F.col("id").cast("int").alias("k"), F.lit("y").alias(f"c{i}")), "k", [f"c{i}"]) for i in range(3)]
+    plan = lookups(df, "n", dims, broadcast_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_bucket" not in line or "wide" not in line for line in plan.splitlines())
