@@ -1,4 +1,5 @@
 import re
+from dataclasses import replace
 
 import pytest
 from helpers import bag, flat_rows
@@ -6,6 +7,7 @@ from test_plans import STAR, plan_of, shuffles
 
 from flakeform.plans.normalize import normalize
 from flakeform.plans.onepass import normalize_once, tagged_rows
+from flakeform.plans.specs import Snowflake
 from flakeform.sources.staging import new_folder, stage
 
 VISITS = [
@@ -47,3 +49,20 @@ def test_each_table_reads_its_own_folder(spark):
     once = normalize_once(flat, STAR, new_folder(spark, "once"))
     plan = plan_of(once["DimBilling"])
     assert "PartitionFilters: [isnotnull(_table" in plan and "patient_zip" not in plan
+
+
+def test_only_keyed_rows_and_facts_are_sorted_by_a_number_first(spark):
+    rows = tagged_rows(stage(flat_rows(spark, *VISITS), "flat"), STAR)
+    dims = ["DimPatient", "DimInsurance", "DimBilling", "DimPrescription"]
+    assert {row["_table"] for row in rows.collect()} == {*dims, "FacVisit"}  # surrogate dimensions follow from the facts
+    assert re.findall(r"\bSort \[(\w+)#", plan_of(rows)) == ["_hash", "_hash"]
+    assert dict(rows.dtypes)["_parts"].startswith("struct<doctor_name") and "_tie" not in rows.columns
+
+
+def test_without_surrogate_dimensions(spark):
+    billing = replace(STAR.table("DimBilling"), foreign_keys=())
+    star = Snowflake((billing,), replace(STAR.fact, columns=("visit_id", "billing_id"), foreign_keys=()))
+    flat = flat_rows(spark, *VISITS)
+    once = normalize_once(flat, star, new_folder(spark, "once"))
+    for name, df in normalize(flat, star).items():
+        assert bag(once[name]) == bag(df), name
