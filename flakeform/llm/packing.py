@@ -7,15 +7,16 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, filterfalse, pairwise
 from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flakeform.llm.common import kept_by_worker, mapped, release_kept, texts
+from flakeform.llm.common import kept_by_worker, mapped, release_kept, sliced, texts
 from flakeform.sources.staging import stage
 
 SEQUENCE = 2048
@@ -29,6 +30,8 @@ LEVELS = 2
 CACHED_WORDS = 600_000
 #: Words that the tokenizer takes in one call; its results hold far more than the ids.
 ENCODED_AT_ONCE = 8192
+#: Bytes of texts whose distinct words are looked up together.
+ENCODED_BYTES = 4 << 20
 #: Words of letters that are encoded as one text.
 WORDS_IN_LINE = 64
 #: Rows of a batch whose texts are held at once.
@@ -39,6 +42,11 @@ _SPECIAL = b"<|"
 _SIMPLE = re.compile(r"([a-zà-öø-ÿ]*)((?:(?!<\|)[!-&(-/:-@\[-`{-~])*)(.*)\n")
 
 
+def byte_letters(text: str) -> str:
+    """The characters by which byte-level vocabularies name the UTF-8 bytes of letters up to ÿ; spaces stay."""
+    return text if text.isascii() else text.encode().decode("latin-1").replace("\xa0", "\u0142").replace("\xad", "\u0143")
+
+
 class WordEncoder:
     """Token ids of whole texts, from ids of their words.
 
@@ -53,8 +61,7 @@ class WordEncoder:
         self.whole = Tokenizer.from_file(path)
         self.letters = Tokenizer.from_file(path)
         self.letters.normalizer = normalizers.Sequence([])
-        parts = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence(parts)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         suffix = json.loads(self.whole.to_str())["model"].get("end_of_word_suffix")
         self.ends = np.zeros(self.whole.get_vocab_size(), bool)
         if suffix:
@@ -76,29 +83,30 @@ class WordEncoder:
         for at in range(0, len(words), ENCODED_AT_ONCE):
             some = words[at : at + ENCODED_AT_ONCE]
             lines = [some[k : k + WORDS_IN_LINE] for k in range(0, len(some), WORDS_IN_LINE)]
-            got = self.letters.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False)
+            got = self.letters.encode_batch_fast([byte_letters(" ".join(line)) for line in lines], add_special_tokens=False)
             for line, found in zip(lines, got, strict=True):
                 ids = np.array(found.ids, "<u4")
                 ends = np.flatnonzero(self.ends[ids]) + 1
                 if len(ends) != len(line):
-                    out += self._encode(self.letters, line)
+                    out += self._encode(self.letters, [byte_letters(word) for word in line])
                     continue
                 data, places = ids.tobytes(), [0, *(4 * ends).tolist()]
                 out += [data[i:j] for i, j in zip(places[:-1], places[1:], strict=True)]
         return out
 
-    def learn(self, words: set[bytes]) -> None:
-        """Bring all these words into ``words``, encoding those that are not known yet.
+    def learn(self, words: list[bytes]) -> None:
+        """Bring all these distinct words into ``words``, encoding those that are not known yet.
 
         Words are kept in two generations. When the later one is full the earlier one goes, so that a word is dropped
         only if it was not used since the turn before; rare words go, and frequent ones are encoded once.
         """
-        if len(self.words) + len(words) > CACHED_WORDS // 2:
-            self.words, self.earlier = {}, self.words
+        missing = list(filterfalse(self.words.__contains__, words))
+        if len(self.words) + len(missing) > CACHED_WORDS // 2:
+            self.words, self.earlier, missing = {}, self.words, words
         known, earlier = self.words, self.earlier
-        missing = [word for word in words if word not in known]
-        known.update({word: earlier[word] for word in missing if word in earlier})
-        new = [word for word in missing if word not in known]
+        kept = {word: ids for word in missing if (ids := earlier.get(word)) is not None}
+        known.update(kept)
+        new = list(filterfalse(kept.__contains__, missing))
         rows = _SIMPLE.findall(b"\n".join([*new, b""]).decode())
         stems = list({stem for stem, _, rest in rows if not rest} - {""})
         letters = dict(zip(stems, self._encode_letters(stems), strict=True))
@@ -106,10 +114,10 @@ class WordEncoder:
         ends = {mark for _, mark, rest in rows if not rest}
         if len(self.marks) + len(ends) > CACHED_WORDS // 8:
             self.marks = {"": b""}
-        marks = list(ends - self.marks.keys())
-        self.marks.update(zip(marks, self._encode(self.whole, marks), strict=True))
-        kept = self.marks
-        known.update({word: letters[stem] + kept[mark] for word, (stem, mark, rest) in zip(new, rows, strict=True) if not rest})
+        unknown = list(ends - self.marks.keys())
+        self.marks.update(zip(unknown, self._encode(self.whole, unknown), strict=True))
+        marks = self.marks
+        known.update({word: letters[stem] + marks[mark] for word, (stem, mark, rest) in zip(new, rows, strict=True) if not rest})
         other = [word for word, (_, _, rest) in zip(new, rows, strict=True) if rest]
         known.update(zip(other, self._encode(self.whole, [word.decode() for word in other]), strict=True))
 
@@ -119,28 +127,29 @@ class WordEncoder:
         Words are lower-cased before they are looked up, as the tokenizer does, but for those that may hold one of its
         special tokens: these have one spelling only.
         """
-        at = 0
-        while at < len(batch):
-            words, size, to = [], 0, at
-            while to < len(batch) and (size < 2 << 20 or to == at):
-                text = batch[to]
-                if _SPECIAL in text:
-                    words.append([w if _SPECIAL in w else w.lower() for w in text.split()])
-                else:
-                    words.append(text.lower().split())
-                size += len(text)
-                to += 1
+        for some in sliced(batch, ENCODED_BYTES):
+            lowered = [_lowered(text) for text in some]
+            split = pc.ascii_split_whitespace(pa.array(lowered, pa.binary()).cast(pa.string()))
+            found = split.values.dictionary_encode()
+            words = found.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
             collecting = gc.isenabled()
             gc.disable()  # there are no cycles here, but very many tuples that the collector would look at
             try:
-                self.learn(set().union(*words))
+                self.learn(words)
             finally:
                 if collecting:
                     gc.enable()
-            ids = self.words.__getitem__
-            for x in words:
-                yield b"".join(map(ids, x)) + END
-            at = to
+            ids = pa.array(map(self.words.__getitem__, words), pa.large_binary()).take(found.indices)
+            _, places, data = ids.buffers()
+            limits = np.frombuffer(places, np.int64)[split.offsets.to_numpy()]
+            for i, j in pairwise(limits.tolist()):
+                yield data[i:j].to_pybytes() + END
+
+
+def _lowered(text: bytes) -> bytes:
+    if _SPECIAL in text:
+        return b" ".join([word if _SPECIAL in word else word.lower() for word in text.split()])
+    return text.lower()
 
 
 def encoder(path: str) -> WordEncoder:

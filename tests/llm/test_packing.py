@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -7,7 +8,7 @@ from brute import edges, empty, sources
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from flakeform.llm import packing
 from flakeform.llm.packing import BestFit, WordEncoder, pack, pack_documents, tokenizer_path
@@ -40,6 +41,34 @@ def test_two_generations_of_words(monkeypatch):
     assert b"common" in encoder.words and b"rare3" not in encoder.words | encoder.earlier
 
 
+def test_texts_without_words():
+    encoder = packing.encoder(tokenizer_path())
+    for texts in ([], [b""], [b"", b" \t\n"], [b"", b"a", b""]):
+        assert [np.frombuffer(data, "<u4").tolist() for data in encoder.encode(texts)] == [ids(t.decode()) for t in texts]
+
+
+def test_repeated_words_are_looked_up_once_and_are_no_objects_each():
+    """Of three million characters, only the distinct words become Python objects."""
+    encoder, text = WordEncoder(tokenizer_path()), b"Some few words that repeat. " * 108_000
+    looked_up = []
+    assert list(encoder.encode([b"some"]))  # imports come first
+    encoder.learn = lambda words, learn=encoder.learn: (looked_up.extend(words), learn(words))
+    tracemalloc.start()
+    (data,) = encoder.encode([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert zlib.crc32(data) == zlib.crc32(np.array([*ids("Some few words that repeat.")[:-1] * 108_000, 0], "<u4").tobytes())
+    assert sorted(set(looked_up) - {b""}) == [b"few", b"repeat.", b"some", b"that", b"words"]
+    assert len(looked_up) == len(set(looked_up))
+    assert peak < 4 * len(text) + len(data)
+
+
+def test_byte_letters_are_those_of_the_vocabulary():
+    rules = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    for letter in [chr(n) for n in range(ord("a"), 256) if packing._SIMPLE.fullmatch(f"{chr(n)}\n")[1]]:
+        assert packing.byte_letters(f"b{letter}c") == rules.pre_tokenize_str(f"b{letter}c")[0][0]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_encoder_on_any_text(text):
