@@ -53,12 +53,17 @@ def export_tables(
     *,
     single_file: bool = False,
     ordered: bool = False,
+    compression: str | None = None,
+    part_rows: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Read every loaded table back, export it as CSV under ``path``, and return the previews."""
+    """Read every loaded table back, export it as CSV under ``path``, and return the previews.
+
+    ``compression`` and ``part_rows`` are those of :func:`flakeform.sources.csv.write_csv`.
+    """
     previews = {}
     for spec in star.tables:
         table = read_back(spec.name)
         order_by = spec.primary_key if ordered else None
-        write_csv(table, f"{path}/{spec.name}", single_file=single_file, order_by=order_by)
+        write_csv(table, f"{path}/{spec.name}", single_file=single_file, order_by=order_by, compression=compression, part_rows=part_rows)
         previews[spec.name] = preview(table)
     return previews
