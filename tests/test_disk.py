@@ -116,3 +116,17 @@ def test_appended_csv_keeps_what_is_there(spark, tmp_path):
     for start in (0, 5):
         write_csv(spark.range(start, start + 5), path, compression="gzip", append=True)
     assert bag(read_csv(spark, path, spark.range(1).schema)) == bag(spark.range(10))
+
+
+def test_lookups_leave_no_shuffle_and_no_dimension_behind(spark, monkeypatch):
+    monkeypatch.setattr("flakeform.operators.lookup.parts_for", lambda *_: 2)
+    rows = stage(spark.createDataFrame([(i, i % 9 or None, f"k{i % 5}") for i in range(80)], "n long, a int, b string"), "rows")
+    one = stage(spark.createDataFrame([(i, f"one{i}") for i in range(8)], "a int, one string"), "one")
+    two = stage(spark.createDataFrame([("k1", "two"), ("k2", None)], "b string, two string"), "two")
+    want = bag(rows.join(one, "a", "left").join(two, "b", "left").select("n", "a", "b", "one", "two"))
+    dims = [(one, "a", ["one"]), (two, "b", ["two"])]
+    found = []
+    assert not left_behind(spark, lambda: found.append(lookups(rows, "n", dims, broadcast_bytes=0, used_up=True)) or found)
+    assert bag(found[0]) == want
+    with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|FileNotFound"):
+        one.collect()
