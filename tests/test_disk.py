@@ -130,3 +130,15 @@ def test_lookups_leave_no_shuffle_and_no_dimension_behind(spark, monkeypatch):
     assert bag(found[0]) == want
     with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|FileNotFound"):
         one.collect()
+
+
+def test_a_counted_batch_keeps_no_changes(spark):
+    folder = new_folder(spark, "batches")
+    batches = Batches(spark, STAR, folder, HASH, buckets=2, checks=True)
+    for number, ids in enumerate([(0, 1), (1, 2), (0, 1)]):  # the last repeats the first
+        flat = flat_rows(spark, *[{"visit_id": f"v{i}", "patient_id": f"p{i}", "billing_id": f"b{i}"} for i in ids])
+        batches.load(flat, str(number % 2))
+        assert not exists(spark, f"{folder}/changes/{number % 2}/rows")
+    every = [{"visit_id": f"v{i}", "patient_id": f"p{i}", "billing_id": f"b{i}"} for i in (0, 1, 1, 2)]
+    tables = {**normalize(flat_rows(spark, *every), STAR)}
+    assert bag(batches.report()) == bag(constraint_report(tables, STAR)) == bag(constraint_report(tables, STAR, stepwise=True))
