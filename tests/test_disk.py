@@ -142,3 +142,14 @@ def test_a_counted_batch_keeps_no_changes(spark):
     every = [{"visit_id": f"v{i}", "patient_id": f"p{i}", "billing_id": f"b{i}"} for i in (0, 1, 1, 2)]
     tables = {**normalize(flat_rows(spark, *every), STAR)}
     assert bag(batches.report()) == bag(constraint_report(tables, STAR)) == bag(constraint_report(tables, STAR, stepwise=True))
+
+
+def test_one_pass_in_parts_equals_one(spark):
+    rows = [{"patient_id": f"p{i % 3}" if i else None, "billing_id": f"b{i}", "visit_datetime": "2021-01-01"} for i in range(9)]
+    flat = flat_rows(spark, *rows, {"visit_id": "v0", "lab_order_id": "l"}, {"visit_id": "v0", "lab_order_id": "l"})
+    one = normalize_once(flat.repartition(2), STAR, new_folder(spark, "one"))
+    found = []
+    parted = lambda: found.append(normalize_once(flat.repartition(3), STAR, new_folder(spark, "parts"), parts=3)) or found
+    assert not left_behind(spark, parted)
+    for name, df in one.items():
+        assert bag(found[0][name]) == bag(df), name
