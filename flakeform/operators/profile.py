@@ -23,6 +23,7 @@ from pyspark.sql.types import (
 
 from flakeform.functions.lengths import CONVENTIONAL_LENGTHS, DEFAULT_LENGTH, length_bucket
 from flakeform.functions.text import initials, text_length
+from flakeform.sources.staging import stage, stage_parts
 
 # SQL types by Spark type, the fallback for all others, and the report threshold.
 SQL_TYPES = {
@@ -123,16 +124,23 @@ def type_recommendation(
     flat: DataFrame,
     one_char_tables: Sequence[str] = (),
     sizes: Sequence[int] = CONVENTIONAL_LENGTHS,
+    *,
+    stepwise: bool = False,
 ) -> DataFrame:
     """One row per output column: its Spark type, longest value and recommended SQL type.
 
     All text columns share one size, that of the longest value in the *flat* input. In the
     ``one_char_tables`` a text column of single characters becomes ``CHAR(1)`` instead.
+
+    ``stepwise`` runs one table's measures after another and stages them, so that not all tables' shuffles stand on the disk.
     """
-    shared = global_length(flat, sizes).select("varchar_length").scalar()
+    longest = global_length(flat, sizes)
+    shared = (stage(longest, "length") if stepwise else longest).select("varchar_length").scalar()
     reports = [
         _table_types(name, df, name in one_char_tables, shared) for name, df in tables.items()
     ]
+    if stepwise:
+        return stage_parts(reports, "types")
     return reduce(DataFrame.unionByName, reports)
 
 

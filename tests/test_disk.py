@@ -153,3 +153,11 @@ def test_one_pass_in_parts_equals_one(spark):
     assert not left_behind(spark, parted)
     for name, df in one.items():
         assert bag(found[0][name]) == bag(df), name
+
+
+def test_stepwise_reports_leave_no_shuffle_behind(spark):
+    tables = normalize(stage(flat_rows(spark, {}, {"patient_id": None}, {"billing_id": "b2"}), "flat"), STAR)
+    whole = constraint_report(tables, STAR)
+    found = []
+    assert not left_behind(spark, lambda: found.append(constraint_report(tables, STAR, stepwise=True)) or found)
+    assert bag(found[0]) == bag(whole)
