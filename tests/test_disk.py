@@ -70,6 +70,7 @@ def test_parts_hold_every_row_once(spark):
 
 def test_parts_follow_the_size_of_the_chosen_columns(spark):
     df = stage(spark.range(20000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")), "wide")
+    assert parts_for(spark.createDataFrame([(1,)], "a int"), 1) == 1
     assert parts_for(df) == 1 < parts_for(df.select("id"), 10_000) < parts_for(df, 10_000)
 
 
@@ -119,7 +120,7 @@ def test_appended_csv_keeps_what_is_there(spark, tmp_path):
 
 
 def test_lookups_leave_no_shuffle_and_no_dimension_behind(spark, monkeypatch):
-    monkeypatch.setattr("flakeform.operators.lookup.parts_for", lambda *_: 2)
+    monkeypatch.setattr("flakeform.operators.lookup.PART_BYTES", 600)
     rows = stage(spark.createDataFrame([(i, i % 9 or None, f"k{i % 5}") for i in range(80)], "n long, a int, b string"), "rows")
     one = stage(spark.createDataFrame([(i, f"one{i}") for i in range(8)], "a int, one string"), "one")
     two = stage(spark.createDataFrame([("k1", "two"), ("k2", None)], "b string, two string"), "two")
